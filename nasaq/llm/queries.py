@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from nasaq.llm import lookalikes
 from nasaq.llm.formatting import FormattingCopies
 from nasaq.llm.items import main_texts, output_texts
+from nasaq.llm.near_duplicates import NearDuplicates
 from nasaq.sources.tables import table
 
 
@@ -31,6 +32,15 @@ def p1_collapsed(spark: SparkSession, d: str) -> DataFrame:
     return _formatting(spark, d).collapsed()
 
 
+def p3_groups(spark: SparkSession, d: str) -> DataFrame:
+    groups = NearDuplicates(main_texts(spark, d).withColumnRenamed("item_id", "id")).run()
+    return groups.select("task", F.col("id").alias("item_id"), "group_id", "links").distinct()
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return p3_groups(spark, d).where("item_id <> group_id").select("task", "group_id", "item_id")
+
+
 def _unified(spark: SparkSession, d: str, only_changed: bool) -> DataFrame:
     texts = output_texts(spark, d)
     rewriting = lookalikes.corpus_rewriting(texts.select("text"))
@@ -46,7 +56,7 @@ def p5_unified(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_collapsed, p5_found, p5_unified)}
+    return {f.__name__: f for f in (p1_found, p1_collapsed, p3_found, p3_groups, p5_found, p5_unified)}
 
 
 def oracle_sql() -> dict[str, str]:
