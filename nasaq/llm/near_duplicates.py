@@ -82,9 +82,9 @@ def half_deletions(n: int, t: float) -> int:
 
 
 class _Emitter:
-    """Emits the keys of word sets. The frequency of a frequent word: freq[task + word]."""
+    """Emits the keys of word sets. The frequency of a frequent word: freq[task][word]."""
 
-    def __init__(self, freq: dict[str, int], totals: dict[str, int], s: Settings, tail: np.ndarray | None):
+    def __init__(self, freq: dict[str, dict[str, int]], totals: dict[str, int], s: Settings, tail: np.ndarray | None):
         self.freq, self.totals, self.s, self.tail = freq, totals, s, tail
         self.bits: dict[str, int] = {}
 
@@ -129,33 +129,39 @@ class _Emitter:
             self.prefixes(task, order, known, at + 1 + skip, left - skip, expected, key, out)
 
     def ordered(self, task: str, words: list[str]) -> tuple[list[str], list[int]]:
-        freq = self.freq
-        ranked = sorted((freq.get(task + w, 0), w) for w in words)
+        freq = self.freq.get(task, {})
+        ranked = sorted((freq.get(w, 0), w) for w in words)
         return [w for _, w in ranked], [f for f, _ in ranked]
 
+    def rare(self, task: str, words: list[str]) -> list[str]:
+        """The rare words, in order (the words are sorted)."""
+        freq = self.freq.get(task, {})
+        return [w for w in words if w not in freq]
+
     def tail_prefixes(self, task: str, words: list[str]) -> list[int]:
         """All prefixes of the smaller side's keys that start with a frequent word."""
-        order, known = self.ordered(task, words)
-        half = half_deletions(len(order), self.s.similarity)
+        half = half_deletions(len(words), self.s.similarity)
+        n_rare = len(self.rare(task, words))
         out: list[int] = []
-        for at in range(min(half + 1, len(order))):
-            if known[at]:
+        if n_rare <= half:
+            order, known = self.ordered(task, words)
+            for at in range(n_rare, min(half + 1, len(order))):
                 self.prefixes(task, order, known, at, half - at, 1.0, (), out)
         return out
 
     def rare_keys(self, task: str, words: list[str]) -> list[tuple[int, int]]:
         """Keys of one rare word, with its position from 1."""
-        order, known = self.ordered(task, words)
-        upto = min(most_deletions(len(order), self.s.similarity) + 1, len(order))
-        return [(self._key(task, (order[at],)), at + 1) for at in range(upto) if not known[at]]
+        most = most_deletions(len(words), self.s.similarity)
+        return [(self._key(task, (w,)), at) for at, w in enumerate(self.rare(task, words)[: most + 1], 1)]
 
     def tail_keys(self, task: str, words: list[str]) -> list[tuple[int, int]]:
         """Keys that a frequent word starts. The smaller side's are among the pruning set."""
-        order, known = self.ordered(task, words)
-        most = most_deletions(len(order), self.s.similarity)
+        most = most_deletions(len(words), self.s.similarity)
+        n_rare = len(self.rare(task, words))
         out: list[int] = []
-        for at in range(min(most + 1, len(order))):
-            if known[at]:
+        if n_rare <= most:
+            order, known = self.ordered(task, words)
+            for at in range(n_rare, min(most + 1, len(order))):
                 self._extend(task, order, known, at, most - at, 1.0, (), out, self.tail)
         return [(k, 0) for k in out]
 
@@ -271,16 +277,18 @@ class NearDuplicates:
     def _links(self, sets: DataFrame) -> DataFrame:
         s, sc = self.s, self.spark.sparkContext
         totals = {r.task: r["count"] for r in sets.groupBy("task").count().collect()}
-        freq = {
-            r.task + r.word: r.n
-            for r in sets.select("task", F.explode(F.split("words", " ")).alias("word"))
+        frequent = (
+            sets.select("task", F.explode(F.split("words", " ")).alias("word"))
             .groupBy("task", "word")
             .agg(F.count(F.lit(1)).alias("n"))
             .where(F.col("n") > s.bucket)
             .orderBy(F.desc("n"), "task", "word")
             .limit(s.words)
             .collect()
-        }
+        )
+        freq: dict[str, dict[str, int]] = {}
+        for r in frequent:
+            freq.setdefault(r.task, {})[r.word] = r.n
         shared = sc.broadcast((freq, totals, None))
         tail = sets.select("task", "words").mapInArrow(_tail_prefixes(shared, s), "key long").distinct().limit(s.tail + 1).collect()
         prune = np.array(sorted(r.key for r in tail), np.int64) if len(tail) <= s.tail else None
@@ -288,7 +296,7 @@ class NearDuplicates:
         columns = sets.select("task", "id", "words")
         rare = columns.mapInArrow(_emit(shared, s, of_rare=True), KEYS)
         tail_keys = columns.mapInArrow(_emit(shared, s, of_rare=False), KEYS)
-        if len(freq) < s.words:  # then a word that isn't in the list has at most ``bucket`` texts
+        if len(frequent) < s.words:  # then a word that isn't in the list has at most ``bucket`` texts
             pairs, rest = self._colliding(rare, rare), checkpointed(tail_keys)
         else:
             pairs, rest = None, checkpointed(rare.unionByName(tail_keys))
@@ -330,12 +338,12 @@ class NearDuplicates:
     def _verified(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
         """Distinct pairs whose full word sets are similar."""
         pairs = checkpointed(pairs.distinct())
+        # Both joins read the same shuffle of the word sets; of those, only the ones of a pair go on.
         words = sets.select("id", "words")
-        used = words.join(pairs.selectExpr("a AS id").unionByName(pairs.selectExpr("b AS id")).distinct(), "id", "left_semi")
-        used = checkpointed(used.select("id", F.split("words", " ").alias("set")))
-        both = pairs.join(used.select(F.col("id").alias("a"), F.col("set").alias("sa")), "a").join(
-            used.select(F.col("id").alias("b"), F.col("set").alias("sb")), "b"
+        both = pairs.join(words.select(F.col("id").alias("a"), F.col("words").alias("wa")), "a").join(
+            words.select(F.col("id").alias("b"), F.col("words").alias("wb")), "b"
         )
+        both = both.select("a", "b", F.split("wa", " ").alias("sa"), F.split("wb", " ").alias("sb"))
         shared = F.size(F.array_intersect("sa", "sb"))
         return both.where(
             shared / (F.size("sa") + F.size("sb") - shared) >= F.lit(self.s.similarity) - F.lit(EPS)
