@@ -9,6 +9,7 @@ setting gets a temporary folder of its own.
 from __future__ import annotations
 
 import atexit
+import gc
 import shutil
 import tempfile
 import uuid
@@ -60,10 +61,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    release(spark)
     _remove_at_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets the driver drop the shuffle files of plans that nothing refers to any more.
+
+    Spark cleans them when the driver's garbage is collected, which a driver with a
+    large heap may not do for half an hour.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def _remove_at_exit(spark: SparkSession, path: str) -> None:
     sc = spark.sparkContext
 
