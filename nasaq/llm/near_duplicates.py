@@ -25,7 +25,6 @@ import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
-import numpy as np
 import pyarrow as pa
 import regex
 import xxhash
@@ -35,7 +34,7 @@ from pyspark.sql import functions as F
 
 from nasaq.functions.components import components
 from nasaq.llm.lookalikes import all_as_they_look
-from nasaq.session import checkpointed, stored
+from nasaq.session import checkpointed, release, stored
 
 PUNCTUATION = regex.compile(r"[\p{P}\s]+")
 EPS = 1e-9
@@ -84,9 +83,10 @@ def half_deletions(n: int, t: float) -> int:
 class _Emitter:
     """Emits the keys of word sets. The frequency of a frequent word: freq[task][word]."""
 
-    def __init__(self, freq: dict[str, dict[str, int]], totals: dict[str, int], s: Settings, tail: np.ndarray | None):
+    def __init__(self, freq: dict[str, dict[str, int]], totals: dict[str, int], s: Settings, tail: frozenset[int] | None):
         self.freq, self.totals, self.s, self.tail = freq, totals, s, tail
         self.bits: dict[str, int] = {}
+        self.hashes: dict[tuple[str, ...], int] = {}
 
     def bit(self, word: str) -> int:
         b = self.bits.get(word)
@@ -100,6 +100,16 @@ class _Emitter:
         h = xxhash.xxh3_64_intdigest("\x00".join((task, *words)).encode("utf-8", "surrogatepass"))
         return h - (1 << 64) if h >> 63 else h
 
+    def _cached_key(self, task: str, words: tuple[str, ...]) -> int:
+        """For keys of frequent words, which come again and again."""
+        named = (task, *words)
+        h = self.hashes.get(named)
+        if h is None:
+            h = self._key(task, words)
+            if len(self.hashes) < 200_000:
+                self.hashes[named] = h
+        return h
+
     def _extend(self, task, order, known, at, left, expected, key, out, prune) -> None:
         """All keys that start with order[at]; ``left`` deletions remain after it."""
         n_task = self.totals[task]
@@ -108,11 +118,11 @@ class _Emitter:
         expected = expected * df / n_task if len(key) > 1 else float(df)
         final = not df or expected <= self.s.bucket or len(key) >= self.s.depth or at + 1 >= len(order)
         if prune is not None or not final:
-            h = self._key(task, key)
-            if prune is not None and not _within(prune, h):
+            h = self._cached_key(task, key)
+            if prune is not None and h not in prune:
                 return
         if final:
-            out.append(self._key(task, key))
+            out.append(self._cached_key(task, key))
             return
         for skip in range(min(left, len(order) - at - 2) + 1):
             self._extend(task, order, known, at + 1 + skip, left - skip, expected, key, out, prune)
@@ -172,11 +182,6 @@ class _Emitter:
         return sketch - (1 << 64) if sketch >> 63 else sketch
 
 
-def _within(values: np.ndarray, x: int) -> bool:
-    i = int(np.searchsorted(values, x))
-    return i < len(values) and int(values[i]) == x
-
-
 KEYS = "key long, id long, n int, at int, sketch long"
 ARROW = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64()]
 NAMES = ["key", "id", "n", "at", "sketch"]
@@ -291,7 +296,7 @@ class NearDuplicates:
             freq.setdefault(r.task, {})[r.word] = r.n
         shared = sc.broadcast((freq, totals, None))
         tail = sets.select("task", "words").mapInArrow(_tail_prefixes(shared, s), "key long").distinct().limit(s.tail + 1).collect()
-        prune = np.array(sorted(r.key for r in tail), np.int64) if len(tail) <= s.tail else None
+        prune = frozenset(r.key for r in tail) if len(tail) <= s.tail else None
         shared = sc.broadcast((freq, totals, prune))
         columns = sets.select("task", "id", "words")
         rare = columns.mapInArrow(_emit(shared, s, of_rare=True), KEYS)
@@ -338,6 +343,7 @@ class NearDuplicates:
     def _verified(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
         """Distinct pairs whose full word sets are similar."""
         pairs = checkpointed(pairs.distinct())
+        release(self.spark)
         # Both joins read the same shuffle of the word sets; of those, only the ones of a pair go on.
         words = sets.select("id", "words")
         both = pairs.join(words.select(F.col("id").alias("a"), F.col("words").alias("wa")), "a").join(
