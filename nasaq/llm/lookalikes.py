@@ -37,10 +37,10 @@ PERSIAN_ONLY = "پچژگٹڈڑںے۴۵۶"
 #: Kinds of compatibility mappings that redraw a character.
 REDRAWN = {"<wide>", "<narrow>", "<isolated>", "<initial>", "<medial>", "<final>", "<font>", "<noBreak>"}
 #: Format characters that can be seen.
-SEEN_FORMATS = set("؀؁؂؃؄؅۝࢐࢑࣢𑂽𑃍")
+SEEN_FORMATS = set("\u0600\u0601\u0602\u0603\u0604\u0605\u06dd\u0890\u0891\u08e2\U000110bd\U000110cd")
 #: Invisible characters that are not of the format category.
-OTHER_INVISIBLE = "͏ᅟᅠ឴឵ㅤﾠ"
-ZWJ, SELECTOR = "‍", "️"
+OTHER_INVISIBLE = "\u034f\u115f\u1160\u17b4\u17b5\u3164\uffa0"
+ZWJ, SELECTOR = "\u200d", "\ufe0f"
 #: Controls that count as white space.
 CONTROL_SPACES = set("\t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85")
 
@@ -52,7 +52,7 @@ CROSS_NATIVE = {
 }
 CROSS = {ch: kind for kind, (twins, _) in CROSS_NATIVE.items() for ch in twins}
 LATIN = regex.compile(r"[\p{Latin}0-9０-９]")
-EMOJI = regex.compile(r"[\p{So}\p{Sk}‍️⃣]")
+EMOJI = regex.compile(r"[\p{So}\p{Sk}\u200d\ufe0f\u20e3]")
 
 
 def _is_invisible(ch: str) -> bool:
@@ -61,7 +61,7 @@ def _is_invisible(ch: str) -> bool:
         return ch not in SEEN_FORMATS
     if cat == "Cc":
         return ch not in CONTROL_SPACES
-    return ch in OTHER_INVISIBLE or "︀" <= ch <= "️" or 0xE0100 <= ord(ch) <= 0xE01EF or "᠋" <= ch <= "᠍"
+    return ch in OTHER_INVISIBLE or "\ufe00" <= ch <= "\ufe0f" or 0xE0100 <= ord(ch) <= 0xE01EF or "\u180b" <= ch <= "\u180d"
 
 
 @functools.lru_cache(1)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nasaq.llm import lookalikes
+from nasaq.llm import abuse, contamination, lookalikes
 from nasaq.llm.formatting import FormattingCopies
 from nasaq.llm.items import main_texts, output_texts
 from nasaq.llm.near_duplicates import NearDuplicates
@@ -41,6 +41,22 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return p3_groups(spark, d).where("item_id <> group_id").select("task", "group_id", "item_id")
 
 
+def _eval_texts(spark: SparkSession, d: str) -> DataFrame:
+    return contamination.item_text(table(spark, d, "eval_items"))
+
+
+def p4_leaks(spark: SparkSession, d: str) -> DataFrame:
+    return contamination.leaks(table(spark, d, "documents"), _eval_texts(spark, d))
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return p4_leaks(spark, d).select("doc_id", "test_id")
+
+
+def p4_cleaned(spark: SparkSession, d: str) -> DataFrame:
+    return contamination.without_leaks(table(spark, d, "documents"), _eval_texts(spark, d))
+
+
 def _unified(spark: SparkSession, d: str, only_changed: bool) -> DataFrame:
     texts = output_texts(spark, d)
     rewriting = lookalikes.corpus_rewriting(texts.select("text"))
@@ -55,8 +71,20 @@ def p5_unified(spark: SparkSession, d: str) -> DataFrame:
     return _unified(spark, d, only_changed=False).select("task", "item_id", "unified", "changed").distinct()
 
 
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return abuse.flagged(table(spark, d, "documents")).select("doc_id")
+
+
+def p9_scores(spark: SparkSession, d: str) -> DataFrame:
+    return abuse.scores(table(spark, d, "documents"))
+
+
+def p9_rates(spark: SparkSession, d: str) -> DataFrame:
+    return abuse.rates(table(spark, d, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_collapsed, p3_found, p3_groups, p5_found, p5_unified)}
+    return {f.__name__: f for f in (p1_found, p1_collapsed, p3_found, p3_groups, p4_found, p4_leaks, p4_cleaned, p5_found, p5_unified, p9_found, p9_scores, p9_rates)}
 
 
 def oracle_sql() -> dict[str, str]:
