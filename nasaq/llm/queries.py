@@ -7,10 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nasaq.llm import abuse, contamination, lookalikes
+from nasaq.llm import abuse, contamination, lookalikes, mixing, packing, pairs, sampling
 from nasaq.llm.formatting import FormattingCopies
 from nasaq.llm.items import main_texts, output_texts
+from nasaq.llm.labels import answer_label, sentiment_label
 from nasaq.llm.near_duplicates import NearDuplicates
+from nasaq.llm.tokens import token_counts, usable
+from nasaq.session import checkpointed
 from nasaq.sources.tables import table
 
 
@@ -71,6 +74,48 @@ def p5_unified(spark: SparkSession, d: str) -> DataFrame:
     return _unified(spark, d, only_changed=False).select("task", "item_id", "unified", "changed").distinct()
 
 
+def _sample(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    exams = table(spark, d, "exam_items").select(F.lit("exams").alias("task"), "item_id", answer_label("answer").alias("category"))
+    sentiment = table(spark, d, "sentiment_items").select(
+        F.lit("sentiment").alias("task"), "item_id", sentiment_label("sentiment").alias("category")
+    )
+    return sampling.sample(exams.unionByName(sentiment), table(spark, d, "sample_targets"))
+
+
+def p6_sample(spark: SparkSession, d: str) -> DataFrame:
+    return _sample(spark, d)[0]
+
+
+def p6_report(spark: SparkSession, d: str) -> DataFrame:
+    return _sample(spark, d)[1]
+
+
+def p7_packed(spark: SparkSession, d: str) -> DataFrame:
+    sizes = token_counts(usable(table(spark, d, "documents")))
+    return packing.pack(sizes, table(spark, d, "pack_sizes"))
+
+
+def p7_usage(spark: SparkSession, d: str) -> DataFrame:
+    return packing.usage(p7_packed(spark, d), table(spark, d, "pack_sizes"))
+
+
+def _mix(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    sizes = checkpointed(token_counts(usable(table(spark, d, "documents")), keep=("doc_id", "source")))
+    return mixing.mix(sizes, table(spark, d, "mix_targets"))
+
+
+def p8_mix(spark: SparkSession, d: str) -> DataFrame:
+    return _mix(spark, d)[0]
+
+
+def p8_report(spark: SparkSession, d: str) -> DataFrame:
+    return _mix(spark, d)[1]
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return pairs.defects(table(spark, d, "grammar_items"), table(spark, d, "documents"))
+
+
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return abuse.flagged(table(spark, d, "documents")).select("doc_id")
 
@@ -84,7 +129,7 @@ def p9_rates(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_collapsed, p3_found, p3_groups, p4_found, p4_leaks, p4_cleaned, p5_found, p5_unified, p9_found, p9_scores, p9_rates)}
+    return {f.__name__: f for f in (p1_found, p1_collapsed, p2_found, p3_found, p3_groups, p4_found, p4_leaks, p4_cleaned, p5_found, p5_unified, p6_sample, p6_report, p7_packed, p7_usage, p8_mix, p8_report, p9_found, p9_scores, p9_rates)}
 
 
 def oracle_sql() -> dict[str, str]:
