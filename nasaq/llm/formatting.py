@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nasaq.llm.lookalikes import all_as_they_look
+from nasaq.session import stored
 
 #: An option label: a letter, perhaps in brackets, with a mark after it.
 LABEL = regex.compile(r"^\s*(?:\(\s*[A-Ea-e]\s*\)|\[\s*[A-Ea-e]\s*\]|[A-Ea-e]\s*[.):\-–—]+)\s*")
@@ -68,8 +69,8 @@ class FormattingCopies:
         survivors = raw.select("task", "least", "several", *key, "parts").mapInArrow(
             _canonical, "task string, least long, several boolean, k1 long, k2 long, canonical string"
         )
-        #: One row for each distinct raw record: its raw key and its canonical text.
-        self.survivors = survivors.where("canonical IS NOT NULL")
+        #: One row for each distinct raw record: its raw key and its canonical text, made once.
+        self.survivors = stored(survivors.where("canonical IS NOT NULL"), "canonical")
 
     def keys(self, only_sets_of_several: bool = False) -> DataFrame:
         """Rows (k1, k2, keep_id): the smallest id of the set of each distinct raw record."""
