@@ -1,2 +1,304 @@
-def queries():
-    return {}
+"""Queries of the core operators over the test tables, each over whole tables."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from nasaq.functions import text as T
+from nasaq.operators import augment as A
+from nasaq.operators import clean as C
+from nasaq.operators import generate as G
+from nasaq.operators import report as R
+from nasaq.operators import sampling as S
+from nasaq.operators import schema as V
+from nasaq.operators import seeds as D
+from nasaq.operators import similarity as M
+from nasaq.operators import tstr
+from nasaq.sources.exam_csv import parsed_meta
+from nasaq.sources.tables import records, table
+
+Query = Callable[[SparkSession, str], DataFrame]
+_ALL: dict[str, Query] = {}
+TABLES = {"exams": "exam_items", "sentiment": "sentiment_items", "grammar": "grammar_items"}
+MAIN = {"exams": "question", "sentiment": "text", "grammar": "input"}
+
+
+def query(f: Query) -> Query:
+    _ALL[f.__name__] = f
+    return f
+
+
+def items(spark: SparkSession, d: str, task: str) -> DataFrame:
+    return table(spark, d, TABLES[task])
+
+
+def each_task(make: Callable[[str], DataFrame]) -> DataFrame:
+    a, b, c = (make(t).withColumn("task", F.lit(t)) for t in TABLES)
+    return a.unionByName(b).unionByName(c)
+
+
+@query
+def word_counts(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").select("doc_id", T.word_count("text").alias("words"))
+
+
+@query
+def type_token_ratios(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").select("doc_id", T.type_token_ratio("text").alias("ttr"))
+
+
+@query
+def schema_validate(spark: SparkSession, d: str) -> DataFrame:
+    return each_task(lambda t: items(spark, d, t).groupBy(V.valid(t).alias("valid")).agg(F.count(F.lit(1)).alias("n")))
+
+
+@query
+def json_schema_validate(spark: SparkSession, d: str) -> DataFrame:
+    made = lambda t: items(spark, d, t).select("item_id", T.canonical(t).alias("value"))
+    return each_task(lambda t: made(t).groupBy(V.valid_json(t).alias("valid")).agg(F.count(F.lit(1)).alias("n")))
+
+
+@query
+def length_filter(spark: SparkSession, d: str) -> DataFrame:
+    return each_task(lambda t: items(spark, d, t).where(C.length_ok(t)).select("item_id", T.word_count(MAIN[t]).alias("words")))
+
+
+@query
+def ttr_filter(spark: SparkSession, d: str) -> DataFrame:
+    return each_task(lambda t: items(spark, d, t).where(C.variety_ok(t)).select("item_id"))
+
+
+@query
+def length_ttr_clean(spark: SparkSession, d: str) -> DataFrame:
+    return each_task(
+        lambda t: C.filtered(items(spark, d, t), t).agg(F.count(F.lit(1)).alias("kept"), F.avg(T.word_count(MAIN[t])).alias("avg_words"))
+    )
+
+
+@query
+def canonical_json(spark: SparkSession, d: str) -> DataFrame:
+    return each_task(lambda t: items(spark, d, t).select("item_id", T.canonical(t).alias("canonical")))
+
+
+@query
+def extract_fenced_json(spark: SparkSession, d: str) -> DataFrame:
+    body = T.canonical("grammar")
+    kind = F.pmod("item_id", F.lit(3))
+    raw = F.when(kind == 0, F.concat(F.lit("Here:\n```json\n"), body, F.lit("\n```\nDone."))).when(
+        kind == 1, F.concat(F.lit("Answer: "), body, F.lit(" ok"))
+    ).otherwise(F.col("explanation"))
+    return items(spark, d, "grammar").select("item_id", T.json_of_answer(raw).alias("extracted"))
+
+
+@query
+def subject_hint(spark: SparkSession, d: str) -> DataFrame:
+    return items(spark, d, "exams").select("item_id", T.subject_hint("question").alias("hint"), T.coarse_subject("question").alias("coarse"))
+
+
+@query
+def option_patterns(spark: SparkSession, d: str) -> DataFrame:
+    each = items(spark, d, "exams").select(F.explode("options").alias("o")).select(T.option_pattern("o").alias("pattern"))
+    return each.where("pattern IS NOT NULL").groupBy("pattern").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def anonymize(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").select("doc_id", T.anonymise("text").alias("anonymous"))
+
+
+@query
+def paraphrase(spark: SparkSession, d: str) -> DataFrame:
+    return items(spark, d, "sentiment").select("item_id", T.paraphrase("text").alias("paraphrased"))
+
+
+@query
+def entity_replace(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").select("doc_id", T.replace_entities("text", F.col("doc_id"), 5).alias("replaced"))
+
+
+@query
+def metadata_noise(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("doc_id")
+    return table(spark, d, "documents").select(
+        "doc_id", T.noisy_number(F.col("n_chars").cast("double"), k, "n_chars", 3).alias("noisy_chars"), T.shuffled_text("source", k, 3).alias("noisy_source")
+    )
+
+
+@query
+def option_shuffle(spark: SparkSession, d: str) -> DataFrame:
+    new = A.shuffled_options(F.col("options"), F.col("answer"), F.col("item_id"), 1)
+    return items(spark, d, "exams").where("size(options) = 4").select("item_id", new["options"].alias("options"), new["answer"].alias("answer"))
+
+
+def _augmented(spark: SparkSession, d: str, task: str, fields: list[str]) -> DataFrame:
+    return A.augment(items(spark, d, task), task, "item_id").select("item_id", "variant_no", *fields)
+
+
+@query
+def augment_sentiment(spark: SparkSession, d: str) -> DataFrame:
+    return _augmented(spark, d, "sentiment", ["text", "sentiment"])
+
+
+@query
+def augment_exams(spark: SparkSession, d: str) -> DataFrame:
+    return _augmented(spark, d, "exams", ["question", "options", "answer"])
+
+
+@query
+def augment_grammar(spark: SparkSession, d: str) -> DataFrame:
+    return _augmented(spark, d, "grammar", ["input", "correction", "explanation"])
+
+
+@query
+def remap_answer(spark: SparkSession, d: str) -> DataFrame:
+    target = F.substring(F.lit("ABCD"), (F.pmod("item_id", F.lit(4)) + 1).cast("int"), F.lit(1))
+    new = G.remapped(F.col("question"), F.col("options"), F.col("answer"), target)
+    return items(spark, d, "exams").where("size(options) = 4 AND answer IS NOT NULL").select("item_id", new["options"].alias("options"), new["answer"].alias("answer"))
+
+
+@query
+def quota_schedule(spark: SparkSession, d: str) -> DataFrame:
+    return S.schedule(spark, 1000, {"A": 0.4, "B": 0.3, "C": 0.2, "D": 0.1})
+
+
+@query
+def mock_generate(spark: SparkSession, d: str) -> DataFrame:
+    return G.generate(spark, "exams", 40).select("slot", "question", "options", "answer")
+
+
+@query
+def uniform_sample(spark: SparkSession, d: str) -> DataFrame:
+    return S.uniform(records(items(spark, d, "exams"), "item_id").select("item_id", "subject"), "item_id", 100, 11)
+
+
+@query
+def stratified_sample(spark: SparkSession, d: str) -> DataFrame:
+    return S.stratified(records(items(spark, d, "exams"), "item_id").select("item_id", "subject"), "item_id", 100, "subject", 11, strict=False)
+
+
+def _seeds(spark: SparkSession, d: str) -> DataFrame:
+    return D.draw(table(spark, d, "eval_items"), "exams", "test_id")
+
+
+@query
+def style_guidance(spark: SparkSession, d: str) -> DataFrame:
+    return D.style(_seeds(spark, d))
+
+
+@query
+def seed_audit(spark: SparkSession, d: str) -> DataFrame:
+    return D.audit_rows(_seeds(spark, d))
+
+
+@query
+def seed_leakage_guard(spark: SparkSession, d: str) -> DataFrame:
+    seeds = [r.question for r in _seeds(spark, d).select("question").collect()]
+    return M.unlike_seeds(items(spark, d, "exams"), seeds, "question", 0.2).select("item_id")
+
+
+@query
+def nearest_real_overlap(spark: SparkSession, d: str) -> DataFrame:
+    return M.nearest(items(spark, d, "exams"), "item_id", "question", table(spark, d, "eval_items"), "question")
+
+
+@query
+def privacy_report(spark: SparkSession, d: str) -> DataFrame:
+    return R.privacy(items(spark, d, "exams"), "item_id", "question", table(spark, d, "eval_items"), "question")
+
+
+@query
+def fidelity_lengths(spark: SparkSession, d: str) -> DataFrame:
+    s = R.length_stats(items(spark, d, "exams"), "question").withColumn("side", F.lit("synthetic"))
+    return s.unionByName(R.length_stats(table(spark, d, "eval_items"), "question").withColumn("side", F.lit("real")))
+
+
+@query
+def answer_distribution(spark: SparkSession, d: str) -> DataFrame:
+    return R.answer_shares(items(spark, d, "exams"))
+
+
+@query
+def answer_l1(spark: SparkSession, d: str) -> DataFrame:
+    return R.l1_distance(R.answer_shares(items(spark, d, "exams")), R.answer_shares(table(spark, d, "eval_items")))
+
+
+@query
+def corpus_ttr(spark: SparkSession, d: str) -> DataFrame:
+    return R.corpus_ttr(items(spark, d, "sentiment"), "text")
+
+
+@query
+def vocab_jaccard(spark: SparkSession, d: str) -> DataFrame:
+    return R.vocabulary_overlap(items(spark, d, "exams"), "question", table(spark, d, "eval_items"), "question")
+
+
+@query
+def subject_distribution(spark: SparkSession, d: str) -> DataFrame:
+    return R.subject_shares(items(spark, d, "exams"), "question")
+
+
+@query
+def eval_exams(spark: SparkSession, d: str) -> DataFrame:
+    return R.summary(items(spark, d, "exams"), "exams")
+
+
+@query
+def eval_exams_answers(spark: SparkSession, d: str) -> DataFrame:
+    return R.distribution(items(spark, d, "exams"), "answer")
+
+
+@query
+def eval_sentiment(spark: SparkSession, d: str) -> DataFrame:
+    return R.summary(items(spark, d, "sentiment"), "sentiment")
+
+
+@query
+def eval_sentiment_labels(spark: SparkSession, d: str) -> DataFrame:
+    return R.distribution(items(spark, d, "sentiment").select(T.normal_sentiment("sentiment").alias("label")), "label")
+
+
+@query
+def eval_grammar(spark: SparkSession, d: str) -> DataFrame:
+    return R.summary(items(spark, d, "grammar"), "grammar")
+
+
+@query
+def export_metadata(spark: SparkSession, d: str) -> DataFrame:
+    return items(spark, d, "grammar").select("item_id", "input").withColumns({"_task": F.lit("grammar"), "_persona": F.lit("tutor"), "_batch_id": F.lit("b1")})
+
+
+@query
+def parse_meta(spark: SparkSession, d: str) -> DataFrame:
+    literal = F.concat(F.lit("{'grade': "), F.coalesce(F.col("grade").cast("string"), F.lit("None")), F.lit(", 'subject': '"), F.col("subject"), F.lit("', 'language': 'Arabic'}"))
+    return items(spark, d, "exams").select("item_id", parsed_meta(F.regexp_replace(literal, "None", "null")).alias("m")).select("item_id", "m.*")
+
+
+@query
+def fuzzy_dedup(spark: SparkSession, d: str) -> DataFrame:
+    kept = records(items(spark, d, "exams"), "item_id").withColumn("canonical", T.canonical("exams"))
+    return M.fuzzy_keep(kept, "item_id", "canonical").select("item_id")
+
+
+@query
+def clean_grammar(spark: SparkSession, d: str) -> DataFrame:
+    return C.clean(records(items(spark, d, "grammar"), "item_id"), "grammar", "item_id").select("item_id")
+
+
+@query
+def near_dup_pairs(spark: SparkSession, d: str) -> DataFrame:
+    rows = records(items(spark, d, "grammar"), "item_id").where("input IS NOT NULL")
+    firsts = rows.groupBy(F.col("input").alias("s")).agg(F.min("item_id").alias("ix"))
+    return M.similar_pairs(firsts.select("ix", "s"))
+
+
+@query
+def tstr_accuracy(spark: SparkSession, d: str) -> DataFrame:
+    found = tstr.accuracy(items(spark, d, "exams").select("question", T.answer_label("answer").alias("label")), table(spark, d, "eval_items").select("question", F.col("answer").alias("label")), "question", "label")
+    return spark.createDataFrame([(found["synthetic_to_real_accuracy"], found.get("note"))], "accuracy double, note string")
+
+
+def queries() -> dict[str, Query]:
+    return dict(_ALL)
