@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import argparse
 import json
+import os
 from pathlib import Path
 
 from pyspark.sql import functions as F
 
+from nasaq.functions.text import canonical
 from nasaq.operators import augment as _augment
 from nasaq.operators import clean as _clean
 from nasaq.operators import generate as _generate
@@ -65,13 +67,18 @@ def clean_lines(spark, path: str, task: str):
     return fuzzy_keep(kept, "row_ix", "_c", _clean.DUPLICATE).select("row_ix", "value")
 
 
+def at(path: str) -> str:
+    """A path without a scheme is relative to the working directory, whatever the JVM's is."""
+    return path if "://" in path else os.path.abspath(path)
+
+
 def main(argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
     spark = local_session()
     if args.verb == "generate":
         drawn, texts, guide = None, [], ""
         if args.seed_file and Path(args.seed_file).exists():
-            drawn = seeds.draw(jsonl.read(spark, args.seed_file, SCHEMAS["exams"]), args.task, "row_ix")
+            drawn = seeds.draw(jsonl.read(spark, at(args.seed_file), SCHEMAS["exams"]), args.task, "row_ix")
             texts = [r.question for r in drawn.select("question").collect()]
             guide = seeds.guidance(drawn, args.task)
             if texts:
@@ -79,19 +86,20 @@ def main(argv: list[str] | None = None) -> None:
                 seeds.write_audit(drawn, f"outputs/{args.task}_seeds_audit.json")
         provider = _generate.chat_provider(args.model.split(":", 1)[1], args.temperature, args.top_p) if args.model.startswith("openai:") else None
         made = _generate.generate(spark, args.task, args.num_samples, provider, args.persona, guide, texts)
-        jsonl.write(made.orderBy("slot").drop("slot", "letter"), args.out_path or f"outputs/{args.task}_raw.jsonl")
+        line = canonical(args.task, F.col("remapped") if args.task == "exams" else None)
+        made.orderBy("slot").select(line.alias("value")).write.mode("overwrite").text(at(args.out_path or f"outputs/{args.task}_raw.jsonl"))
     elif args.verb == "augment":
-        rows = jsonl.read(spark, args.in_path, SCHEMAS[args.task]).drop("_line")
+        rows = jsonl.read(spark, at(args.in_path), SCHEMAS[args.task]).drop("_line")
         out = _augment.augment(rows, args.task, "row_ix", args.num_variants)
-        jsonl.write(out.orderBy("row_ix", "variant_no").drop("row_ix", "variant_no"), args.out_path)
+        jsonl.write(out.orderBy("row_ix", "variant_no").drop("row_ix", "variant_no"), at(args.out_path))
     elif args.verb == "clean":
-        kept = clean_lines(spark, args.in_path, args.task).orderBy("row_ix").select(jsonl.plain_line("value").alias("value"))
-        kept.write.mode("overwrite").text(args.out_path)
+        kept = clean_lines(spark, at(args.in_path), args.task).orderBy("row_ix").select(jsonl.plain_line("value").alias("value"))
+        kept.write.mode("overwrite").text(at(args.out_path))
     elif args.verb == "evaluate":
-        print(json.dumps(report.evaluation(jsonl.read(spark, args.in_path, SCHEMAS[args.task]), args.task), ensure_ascii=False, indent=2))
+        print(json.dumps(report.evaluation(jsonl.read(spark, at(args.in_path), SCHEMAS[args.task]), args.task), ensure_ascii=False, indent=2))
     else:
-        target = f"{args.out_dir}/{args.task}.{args.out_format}"
-        jsonl.export(spark, args.in_path, target, args.out_format, args.meta_task_name or args.task, args.meta_persona, args.meta_batch_id)
+        target = f"{at(args.out_dir)}/{args.task}.{args.out_format}"
+        jsonl.export(spark, at(args.in_path), target, args.out_format, args.meta_task_name or args.task, args.meta_persona, args.meta_batch_id)
 
 
 if __name__ == "__main__":

@@ -95,10 +95,12 @@ def json_object(fields: dict[str, Column]) -> Column:
     return F.concat(*parts, F.lit("}"))
 
 
-def canonical(task: str) -> Column:
-    """Canonical JSON of an item from its own columns."""
+def canonical(task: str, without_notes: Column | None = None) -> Column:
+    """Canonical JSON of an item from its own columns; exams without the field notes where the condition holds."""
     if task == "exams":
-        return json_object({"question": json_string("question"), "options": json_list("options"), "answer": json_string("answer"), "notes": json_string("notes")})
+        fields = {"question": json_string("question"), "options": json_list("options"), "answer": json_string("answer")}
+        full = json_object(fields | {"notes": json_string("notes")})
+        return full if without_notes is None else F.when(without_notes, json_object(fields)).otherwise(full)
     if task == "sentiment":
         return json_object({"text": json_string("text"), "sentiment": json_string("sentiment")})
     if task == "grammar":

@@ -37,6 +37,10 @@ def filtered(items: DataFrame, task: str) -> DataFrame:
 
 
 def clean(items: DataFrame, task: str, order: str) -> DataFrame:
-    """The filtered items without fuzzy duplicates of an earlier kept one, by the unique column ``order``."""
-    kept = filtered(items, task).withColumn("_canonical", canonical(task))
+    """The filtered items without fuzzy duplicates of an earlier kept one, by the unique column ``order``.
+
+    Generated exams that were ``remapped`` have no field notes, which counts in the comparison.
+    """
+    without_notes = F.col("remapped") if "remapped" in items.columns else None
+    kept = filtered(items, task).withColumn("_canonical", canonical(task, without_notes))
     return fuzzy_keep(kept, order, "_canonical", DUPLICATE).drop("_canonical")

@@ -131,6 +131,7 @@ def _items(raw: DataFrame, task: str, seeds: list[str], most: float) -> DataFram
             F.when(moved, F.col("_n.options")).otherwise(F.col("options")).alias("options"),
             F.when(moved, F.col("_n.answer")).otherwise(F.col("answer")).alias("answer"),
             F.when(~moved, F.col("notes")).alias("notes"),
+            moved.alias("remapped"),
         )
     return good
 
@@ -140,6 +141,7 @@ def generate(
     seeds: list[str] | None = None, shares: dict[str, float] | None = None, most_similar: float = 0.7, rounds: int = 5,
 ) -> DataFrame:
     """Rows (slot, letter, fields of the task): at most n items. Without a provider the mock model answers.
+    Exams have a column remapped: such items carry no notes.
 
     Slots whose item fails are asked again, in at most ``rounds`` rounds, so a model
     that always fails ends with fewer items. Answers are stored before they are used
