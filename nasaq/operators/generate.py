@@ -103,9 +103,8 @@ def remapped(question: Column, options: Column, answer: Column, target: Column)
     parsed = F.transform(
         options, lambda o: F.struct(strip(F.substring_index(o, ".", 1)).alias("letter"), strip(F.substring(o, F.instr(o, ".") + 1, F.length(o))).alias("text"))
     )
-    named = F.filter(parsed, lambda p: p["letter"] == strip(answer))
-    right = F.when(F.size(named) > 0, F.element_at(named, -1)["text"])
-    others = F.filter(F.transform(parsed, lambda p: p["text"]), lambda t: t != right)
+    right = F.try_element_at(F.filter(parsed, lambda p: p["letter"] == strip(answer)), F.lit(-1))["text"]
+    others = F.array_remove(F.transform(parsed, lambda p: p["text"]), right)
     letters = F.array_except(F.array(*map(F.lit, LETTERS)), F.array(target))
     ok = ~F.exists(options, lambda o: F.instr(o, ".") == 0) & (F.coalesce(right, F.lit("")) != "") & (F.size(others) <= F.size(letters)) & question.isNotNull()
     ok = F.coalesce(ok, F.lit(False))

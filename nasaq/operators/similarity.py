@@ -31,7 +31,8 @@ def unlike_seeds(items: DataFrame, seeds: list[str], text: str, most: float = 0.
         return items
     sets = F.array(*[tokens(F.lit(s)) for s in seeds])
     own = F.coalesce(tokens(text), F.array().cast("array<string>"))
-    return items.where(~F.exists(sets, lambda s: jaccard(own, s) > F.lit(most)))
+    # The one-element array binds the words, so that they are split once for all seeds.
+    return items.where(~F.exists(F.array(own), lambda o: F.exists(sets, lambda s: jaccard(o, s) > F.lit(most))))
 
 
 def nearest(items: DataFrame, key: str, text: str, real: DataFrame, real_text: str, block: int = 20_000) -> DataFrame:

@@ -40,7 +40,7 @@ def shared_dir(spark: SparkSession) -> str:
     current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
-    named = sc.getConf().get("spark.checkpoint.dir")
+    named = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not named:
         if not sc.master.startswith("local[") and sc.master != "local":
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
