@@ -91,8 +91,12 @@ def twin_pairs() -> list[tuple[str, str]]:
             elif unicodedata.normalize("NFC", ch) != ch:
                 pairs.append((ch, unicodedata.normalize("NFC", ch)))
             else:
-                for seq in {"".join(chr(int(x, 16)) for x in parts.split()), unicodedata.normalize("NFD", ch)}:
+                once = "".join(chr(int(x, 16)) for x in parts.split())
+                for seq in {once, unicodedata.normalize("NFD", ch)}:
                     pairs.append((seq, ch))
+                if len(once) == 2 and "\u0621" <= once[0] <= "\u064a":
+                    # A vowel mark may stand between an Arabic letter and its hamza.
+                    pairs += [(once[0] + v + once[1], ch + v) for v in map(chr, range(0x64B, 0x653))]
     for twins, _ in CROSS_NATIVE.values():
         pairs += twins.items()
     return [(v, p) for v, p in pairs if v != p]

@@ -19,7 +19,7 @@ A_CUT = "а"  # Cyrillic
     [
         ("thе bоok", "the book"), ("СO2", "CO2"), ("ＤＮＡ", "DNA"), ("a​b­c﻿", "abc"),
         ("x y z　", "x y z "), ("café", "café"), ("أ", "أ"), ("ﺑﻴﺘ", "بيت"),
-        ("ﻻ", "لا"), ("کی۱", "كي١"), ("\U0001d400", "A"),
+        ("ﻻ", "لا"), ("کی۱", "كي١"), ("\U0001d400", "A"), ("ا\u064e\u0654", "أ\u064e"),
     ],
 )
 def test_rewritten(text, form):
