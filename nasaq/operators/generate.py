@@ -158,3 +158,9 @@ def generate(
         if slots.isEmpty():
             break
     return done
+
+
+def log_session(spark: SparkSession, path: str, task: str, model: str, num_samples: int, seed_constraints: dict, generation_time: float, success_rate: float) -> None:
+    """Appends one row with the parameters of a generation session to the JSON log at ``path``."""
+    row = {"task": task, "model": model, "num_samples": num_samples, "seed_constraints": json.dumps(seed_constraints), "generation_time": float(generation_time), "success_rate": float(success_rate), "version": "1.0.0"}
+    spark.createDataFrame([row]).withColumn("timestamp", F.current_timestamp()).write.mode("append").json(path)

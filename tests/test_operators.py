@@ -94,6 +94,12 @@ def test_provider_rounds_are_bounded(spark):
     assert generate.generate(spark, "sentiment", 2, lambda p: "no json", rounds=2).count() == 0
 
 
+def test_session_log(spark, tmp_path):
+    for n in (1, 2):
+        generate.log_session(spark, str(tmp_path / "log"), "exams", "mock", n, {"max_seeds": 10}, 0.5, 1.0)
+    assert sorted(r.num_samples for r in spark.read.json(str(tmp_path / "log")).collect()) == [1, 2]
+
+
 def lev(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
