@@ -132,5 +132,20 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (p1_found, p1_collapsed, p2_found, p3_found, p3_groups, p4_found, p4_leaks, p4_cleaned, p5_found, p5_unified, p6_sample, p6_report, p7_packed, p7_usage, p8_mix, p8_report, p9_found, p9_scores, p9_rates)}
 
 
+#: The marks that contamination.VOWEL_MARKS leaves out, in DuckDB's escapes.
+_MARKS = r"[\x{0610}-\x{061a}\x{064b}-\x{0652}\x{0656}-\x{065f}\x{0670}\x{06d6}-\x{06dc}\x{06df}-\x{06e4}\x{06e7}\x{06e8}\x{06ea}-\x{06ed}]+"
+
+
+def _eight_words(key: str, text: str, source: str) -> str:
+    words = rf"regexp_extract_all(regexp_replace(lower(nfc_normalize({text})), '{_MARKS}', '', 'g'), '[\p{{L}}\p{{N}}]+')"
+    return (
+        f"(SELECT DISTINCT {key}, unnest(list_transform(range(1, len(w) - 6), lambda i: array_to_string(w[i:i + 7], ' '))) AS run"
+        f" FROM (SELECT {key}, {words} AS w FROM {source}) WHERE len(w) >= 8)"
+    )
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL where it can express the operator; the others are tested against brute force."""
+    docs = _eight_words("doc_id", "text", "documents")
+    items = _eight_words("test_id", "concat_ws(chr(10), question, array_to_string(options, chr(10)))", "eval_items")
+    return {"p4_found": f"SELECT DISTINCT doc_id, test_id FROM {docs} JOIN {items} USING (run)"}
