@@ -136,16 +136,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 _MARKS = r"[\x{0610}-\x{061a}\x{064b}-\x{0652}\x{0656}-\x{065f}\x{0670}\x{06d6}-\x{06dc}\x{06df}-\x{06e4}\x{06e7}\x{06e8}\x{06ea}-\x{06ed}]+"
 
 
-def _eight_words(key: str, text: str, source: str) -> str:
+def _runs(key: str, text: str, source: str) -> str:
+    """All runs of eight words: each word with the seven that follow it."""
     words = rf"regexp_extract_all(regexp_replace(lower(nfc_normalize({text})), '{_MARKS}', '', 'g'), '[\p{{L}}\p{{N}}]+')"
-    return (
-        f"(SELECT DISTINCT {key}, unnest(list_transform(range(1, len(w) - 6), lambda i: array_to_string(w[i:i + 7], ' '))) AS run"
-        f" FROM (SELECT {key}, {words} AS w FROM {source}) WHERE len(w) >= 8)"
-    )
+    following = " || ' ' || ".join(f"lead(w, {k}) OVER p" if k else "w" for k in range(8))
+    each = f"SELECT {key}, unnest(w) AS w, generate_subscripts(w, 1) AS i FROM (SELECT {key}, {words} AS w FROM {source})"
+    return f"(SELECT DISTINCT {key}, run FROM (SELECT {key}, {following} AS run FROM ({each}) WINDOW p AS (PARTITION BY {key} ORDER BY i)) WHERE run IS NOT NULL)"
 
 
 def oracle_sql() -> dict[str, str]:
     """SQL where it can express the operator; the others are tested against brute force."""
-    docs = _eight_words("doc_id", "text", "documents")
-    items = _eight_words("test_id", "concat_ws(chr(10), question, array_to_string(options, chr(10)))", "eval_items")
+    docs = _runs("doc_id", "text", "documents")
+    items = _runs("test_id", "concat_ws(chr(10), question, array_to_string(options, chr(10)))", "eval_items")
     return {"p4_found": f"SELECT DISTINCT doc_id, test_id FROM {docs} JOIN {items} USING (run)"}
