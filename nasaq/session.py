@@ -13,6 +13,8 @@ import gc
 import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,9 +33,26 @@ def local_session(cores: str = "*", partitions: int = 8) -> SparkSession:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    ship(spark)
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Lets the Python workers of every executor import this package, wherever it was started from. Once for each context."""
+    sc = spark.sparkContext
+    if getattr(sc, "_nasaq_shipped", False):
+        return
+    package = Path(__file__).parent
+    folder = tempfile.mkdtemp(prefix="nasaq-package-")  # the driver serves this file to the executors
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    path = f"{folder}/nasaq.zip"
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    sc.addPyFile(path)
+    sc._nasaq_shipped = True
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder for checkpoints; all executors can read and write it."""
     sc = spark.sparkContext
