@@ -21,10 +21,13 @@ components are compared. No link between different texts is lost or capped.
 from __future__ import annotations
 
 import math
+import re
+import unicodedata
 import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 import regex
 import xxhash
@@ -36,7 +39,11 @@ from nasaq.functions.components import components
 from nasaq.llm.lookalikes import all_as_they_look
 from nasaq.session import checkpointed, release, stored
 
-PUNCTUATION = regex.compile(r"[\p{P}\s]+")
+PUNCTUATION = regex.compile(r"\p{P}+")
+ASTRAL = re.compile("[\U00010000-\U0010ffff]")
+#: The punctuation of the basic plane as one set, which is searched faster.
+BASIC = [chr(c) for c in range(0x10000) if not 0xD800 <= c <= 0xDFFF and unicodedata.category(chr(c))[0] == "P"]
+BASIC_PUNCTUATION = re.compile(f"[{re.escape(''.join(BASIC))}]+")
 EPS = 1e-9
 
 
@@ -58,7 +65,8 @@ class Settings:
 
 def words_of(text: str) -> list[str]:
     """The sorted distinct words of a rewritten text: lower case, punctuation as blanks."""
-    return sorted(set(PUNCTUATION.sub(" ", text.lower()).split()))
+    pattern = PUNCTUATION if ASTRAL.search(text) else BASIC_PUNCTUATION
+    return sorted(set(pattern.sub(" ", text.lower()).split()))
 
 
 def _sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -85,20 +93,14 @@ class _Emitter:
 
     def __init__(self, freq: dict[str, dict[str, int]], totals: dict[str, int], s: Settings, tail: frozenset[int] | None):
         self.freq, self.totals, self.s, self.tail = freq, totals, s, tail
+        #: The place of each frequent word in the global order.
+        self.rank = {t: {w: i for i, w in enumerate(sorted(ws, key=lambda w: (ws[w], w)))} for t, ws in freq.items()}
         self.bits: dict[str, int] = {}
         self.hashes: dict[tuple[str, ...], int] = {}
 
-    def bit(self, word: str) -> int:
-        b = self.bits.get(word)
-        if b is None:
-            b = zlib.crc32(word.encode("utf-8", "surrogatepass")) & 63
-            if len(self.bits) < 200_000:
-                self.bits[word] = b
-        return b
-
     def _key(self, task: str, words: tuple[str, ...]) -> int:
-        h = xxhash.xxh3_64_intdigest("\x00".join((task, *words)).encode("utf-8", "surrogatepass"))
-        return h - (1 << 64) if h >> 63 else h
+        """An unsigned 64-bit hash."""
+        return xxhash.xxh3_64_intdigest("\x00".join((task, *words)).encode("utf-8", "surrogatepass"))
 
     def _cached_key(self, task: str, words: tuple[str, ...]) -> int:
         """For keys of frequent words, which come again and again."""
@@ -139,9 +141,11 @@ class _Emitter:
             self.prefixes(task, order, known, at + 1 + skip, left - skip, expected, key, out)
 
     def ordered(self, task: str, words: list[str]) -> tuple[list[str], list[int]]:
-        freq = self.freq.get(task, {})
-        ranked = sorted((freq.get(w, 0), w) for w in words)
-        return [w for _, w in ranked], [f for f, _ in ranked]
+        """The words in the global order, and the frequency of each (0 for rare ones); the words are sorted."""
+        rank, freq = self.rank.get(task, {}), self.freq.get(task, {})
+        frequent = sorted([w for w in words if w in rank], key=rank.__getitem__)
+        rare = [w for w in words if w not in rank]
+        return rare + frequent, [0] * len(rare) + [freq[w] for w in frequent]
 
     def rare(self, task: str, words: list[str]) -> list[str]:
         """The rare words, in order (the words are sorted)."""
@@ -159,12 +163,13 @@ class _Emitter:
                 self.prefixes(task, order, known, at, half - at, 1.0, (), out)
         return out
 
-    def rare_keys(self, task: str, words: list[str]) -> list[tuple[int, int]]:
-        """Keys of one rare word, with its position from 1."""
+    def rare_keys(self, task: str, words: list[str]) -> list[int]:
+        """Keys of one rare word, in the order of the words, so that the k-th has position k."""
+        digest, head = xxhash.xxh3_64_intdigest, task + "\x00"
         most = most_deletions(len(words), self.s.similarity)
-        return [(self._key(task, (w,)), at) for at, w in enumerate(self.rare(task, words)[: most + 1], 1)]
+        return [digest((head + w).encode("utf-8", "surrogatepass")) for w in self.rare(task, words)[: most + 1]]
 
-    def tail_keys(self, task: str, words: list[str]) -> list[tuple[int, int]]:
+    def tail_keys(self, task: str, words: list[str]) -> list[int]:
         """Keys that a frequent word starts. The smaller side's are among the pruning set."""
         most = most_deletions(len(words), self.s.similarity)
         n_rare = len(self.rare(task, words))
@@ -173,13 +178,19 @@ class _Emitter:
             order, known = self.ordered(task, words)
             for at in range(n_rare, min(most + 1, len(order))):
                 self._extend(task, order, known, at, most - at, 1.0, (), out, self.tail)
-        return [(k, 0) for k in out]
+        return out
 
     def sketch(self, words: list[str]) -> int:
-        sketch = 0
+        """Each word flips one bit of 64."""
+        bits, sketch = self.bits, 0
         for w in words:
-            sketch ^= 1 << self.bit(w)
-        return sketch - (1 << 64) if sketch >> 63 else sketch
+            b = bits.get(w)
+            if b is None:
+                b = 1 << (zlib.crc32(w.encode("utf-8", "surrogatepass")) & 63)
+                if len(bits) < 200_000:
+                    bits[w] = b
+            sketch ^= b
+        return sketch
 
 
 KEYS = "key long, id long, n int, at int, sketch long"
@@ -194,17 +205,23 @@ def _emit(shared: Broadcast, s: Settings, of_rare: bool):
         freq, totals, tail_set = shared.value
         emitter = _Emitter(freq, totals, s, tail_set)
         for batch in batches:
-            rows: list[tuple] = []
-            for task, id_, joined in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            keys: list[int] = []
+            at: list[int] = []
+            per_row, sizes, sketches = [], [], []
+            for task, joined in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 words = joined.split(" ")
-                keys = emitter.rare_keys(task, words) if of_rare else emitter.tail_keys(task, words)
-                if keys:
-                    sketch, n = emitter.sketch(words), len(words)
-                    rows += [(k, id_, n, at, sketch) for k, at in keys]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), ARROW, strict=True)] if rows else [pa.array([], t) for t in ARROW],
-                names=NAMES,
-            )
+                own = emitter.rare_keys(task, words) if of_rare else emitter.tail_keys(task, words)
+                keys += own
+                at += range(1, len(own) + 1) if of_rare else [0] * len(own)
+                per_row.append(len(own))
+                sizes.append(len(words))
+                sketches.append(emitter.sketch(words) if own else 0)
+            ids = batch.column(1).to_numpy(zero_copy_only=False)
+            each = [
+                np.array(keys, np.uint64).view(np.int64), np.repeat(ids, per_row), np.repeat(np.array(sizes, np.int32), per_row),
+                np.array(at, np.int32), np.repeat(np.array(sketches, np.uint64).view(np.int64), per_row),
+            ]
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(each, ARROW, strict=True)], names=NAMES)
 
     return run
 
@@ -217,7 +234,7 @@ def _tail_prefixes(shared: Broadcast, s: Settings):
             seen: set[int] = set()
             for task, words in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 seen.update(emitter.tail_prefixes(task, words.split(" ")))
-            yield pa.RecordBatch.from_pydict({"key": pa.array(list(seen), pa.int64())})
+            yield pa.RecordBatch.from_pydict({"key": pa.array(np.array(list(seen), np.uint64).view(np.int64), pa.int64())})
 
     return run
 
@@ -296,7 +313,7 @@ class NearDuplicates:
             freq.setdefault(r.task, {})[r.word] = r.n
         shared = sc.broadcast((freq, totals, None))
         tail = sets.select("task", "words").mapInArrow(_tail_prefixes(shared, s), "key long").distinct().limit(s.tail + 1).collect()
-        prune = frozenset(r.key for r in tail) if len(tail) <= s.tail else None
+        prune = frozenset(r.key % (1 << 64) for r in tail) if len(tail) <= s.tail else None
         shared = sc.broadcast((freq, totals, prune))
         columns = sets.select("task", "id", "words")
         rare = columns.mapInArrow(_emit(shared, s, of_rare=True), KEYS)
