@@ -91,54 +91,38 @@ def half_deletions(n: int, t: float) -> int:
 class _Emitter:
     """Emits the keys of word sets. The frequency of a frequent word: freq[task][word]."""
 
-    def __init__(self, freq: dict[str, dict[str, int]], totals: dict[str, int], s: Settings, tail: frozenset[int] | None):
+    def __init__(self, freq: dict[str, dict[str, int]], totals: dict[str, int], s: Settings, tail: dict[str, dict] | None):
         self.freq, self.totals, self.s, self.tail = freq, totals, s, tail
         #: The place of each frequent word in the global order.
         self.rank = {t: {w: i for i, w in enumerate(sorted(ws, key=lambda w: (ws[w], w)))} for t, ws in freq.items()}
         self.bits: dict[str, int] = {}
-        self.hashes: dict[tuple[str, ...], int] = {}
 
     def _key(self, task: str, words: tuple[str, ...]) -> int:
         """An unsigned 64-bit hash."""
         return xxhash.xxh3_64_intdigest("\x00".join((task, *words)).encode("utf-8", "surrogatepass"))
 
-    def _cached_key(self, task: str, words: tuple[str, ...]) -> int:
-        """For keys of frequent words, which come again and again."""
-        named = (task, *words)
-        h = self.hashes.get(named)
-        if h is None:
-            h = self._key(task, words)
-            if len(self.hashes) < 200_000:
-                self.hashes[named] = h
-        return h
-
-    def _extend(self, task, order, known, at, left, expected, key, out, prune) -> None:
-        """All keys that start with order[at]; ``left`` deletions remain after it."""
-        n_task = self.totals[task]
-        key = (*key, order[at])
-        df = known[at]
-        expected = expected * df / n_task if len(key) > 1 else float(df)
-        final = not df or expected <= self.s.bucket or len(key) >= self.s.depth or at + 1 >= len(order)
-        if prune is not None or not final:
-            h = self._cached_key(task, key)
-            if prune is not None and h not in prune:
-                return
-        if final:
-            out.append(self._cached_key(task, key))
-            return
-        for skip in range(min(left, len(order) - at - 2) + 1):
-            self._extend(task, order, known, at + 1 + skip, left - skip, expected, key, out, prune)
-
-    def prefixes(self, task, order, known, at, left, expected, key, out) -> None:
-        """Like _extend, but the keys on the way too."""
+    def _extend(self, task, order, known, at, left, expected, key, out) -> None:
+        """All keys (as words) that start with order[at]; ``left`` deletions remain after it."""
         key = (*key, order[at])
         df = known[at]
         expected = expected * df / self.totals[task] if len(key) > 1 else float(df)
-        out.append(self._key(task, key))
-        if not df or expected <= self.s.bucket or len(key) >= self.s.depth or at + 1 >= len(order):
+        final = not df or expected <= self.s.bucket or len(key) >= self.s.depth
+        if final or left >= len(order) - at - 1:  # the variant may also end here, all later words deleted
+            out.append(key)
+        if final:
             return
         for skip in range(min(left, len(order) - at - 2) + 1):
-            self.prefixes(task, order, known, at + 1 + skip, left - skip, expected, key, out)
+            self._extend(task, order, known, at + 1 + skip, left - skip, expected, key, out)
+
+    def _walk(self, node, order, at, left, out) -> None:
+        """All keys of the trie below ``node`` that the words from order[at] on spell with at most ``left`` deletions."""
+        for i in range(at, min(at + left + 1, len(order))):
+            child = node.get(order[i])
+            if child is None:
+                continue
+            if "" in child:
+                out.append(child[""])
+            self._walk(child, order, i + 1, left - (i - at), out)
 
     def ordered(self, task: str, words: list[str]) -> tuple[list[str], list[int]]:
         """The words in the global order, and the frequency of each (0 for rare ones); the words are sorted."""
@@ -152,15 +136,15 @@ class _Emitter:
         freq = self.freq.get(task, {})
         return [w for w in words if w not in freq]
 
-    def tail_prefixes(self, task: str, words: list[str]) -> list[int]:
-        """All prefixes of the smaller side's keys that start with a frequent word."""
+    def small_tail(self, task: str, words: list[str]) -> list[tuple[str, ...]]:
+        """The smaller side's keys, as words, that start with a frequent word."""
         half = half_deletions(len(words), self.s.similarity)
         n_rare = len(self.rare(task, words))
-        out: list[int] = []
+        out: list[tuple[str, ...]] = []
         if n_rare <= half:
             order, known = self.ordered(task, words)
             for at in range(n_rare, min(half + 1, len(order))):
-                self.prefixes(task, order, known, at, half - at, 1.0, (), out)
+                self._extend(task, order, known, at, half - at, 1.0, (), out)
         return out
 
     def rare_keys(self, task: str, words: list[str]) -> list[int]:
@@ -170,15 +154,21 @@ class _Emitter:
         return [digest((head + w).encode("utf-8", "surrogatepass")) for w in self.rare(task, words)[: most + 1]]
 
     def tail_keys(self, task: str, words: list[str]) -> list[int]:
-        """Keys that a frequent word starts. The smaller side's are among the pruning set."""
+        """Keys that a frequent word starts: those that the smaller side of some pair has too, if these are known."""
         most = most_deletions(len(words), self.s.similarity)
         n_rare = len(self.rare(task, words))
-        out: list[int] = []
-        if n_rare <= most:
-            order, known = self.ordered(task, words)
-            for at in range(n_rare, min(most + 1, len(order))):
-                self._extend(task, order, known, at, most - at, 1.0, (), out, self.tail)
-        return out
+        if n_rare > most:
+            return []
+        order, known = self.ordered(task, words)
+        if self.tail is not None:
+            found: list[int] = []
+            if task in self.tail:
+                self._walk(self.tail[task], order, n_rare, most - n_rare, found)
+            return found
+        out: list[tuple[str, ...]] = []
+        for at in range(n_rare, min(most + 1, len(order))):
+            self._extend(task, order, known, at, most - at, 1.0, (), out)
+        return [self._key(task, key) for key in out]
 
     def sketch(self, words: list[str]) -> int:
         """Each word flips one bit of 64."""
@@ -226,19 +216,30 @@ def _emit(shared: Broadcast, s: Settings, of_rare: bool):
     return run
 
 
-def _tail_prefixes(shared: Broadcast, s: Settings):
+def _small_tail(shared: Broadcast, s: Settings):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         freq, totals, _ = shared.value
         emitter = _Emitter(freq, totals, s, None)
         for batch in batches:
-            seen: set[int] = set()
+            seen: set[tuple[str, ...]] = set()
             for task, words in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                seen.update(emitter.tail_prefixes(task, words.split(" ")))
-            yield pa.RecordBatch.from_pydict({"key": pa.array(np.array(list(seen), np.uint64).view(np.int64), pa.int64())})
+                seen.update((task, *key) for key in emitter.small_tail(task, words.split(" ")))
+            yield pa.RecordBatch.from_pydict({"key": pa.array([list(k) for k in seen], pa.list_(pa.string()))})
 
     return run
 
 
+def _trie(keys: Iterable[list[str]]) -> dict[str, dict]:
+    """By task and words; the hash of a key is under the empty word after its last word."""
+    root: dict[str, dict] = {}
+    for task, *words in keys:
+        node = root.setdefault(task, {})
+        for w in words:
+            node = node.setdefault(w, {})
+        node[""] = xxhash.xxh3_64_intdigest("\x00".join((task, *words)).encode("utf-8", "surrogatepass"))
+    return root
+
+
 def _pair_filter(s: Settings) -> str:
     """Conditions on a colliding pair: a the larger or equal set, b the smaller. All are necessary for similarity.
 
@@ -312,8 +313,8 @@ class NearDuplicates:
         for r in frequent:
             freq.setdefault(r.task, {})[r.word] = r.n
         shared = sc.broadcast((freq, totals, None))
-        tail = sets.select("task", "words").mapInArrow(_tail_prefixes(shared, s), "key long").distinct().limit(s.tail + 1).collect()
-        prune = frozenset(r.key % (1 << 64) for r in tail) if len(tail) <= s.tail else None
+        tail = sets.select("task", "words").mapInArrow(_small_tail(shared, s), "key array<string>").distinct().limit(s.tail + 1).collect()
+        prune = _trie(r.key for r in tail) if len(tail) <= s.tail else None
         shared = sc.broadcast((freq, totals, prune))
         columns = sets.select("task", "id", "words")
         rare = columns.mapInArrow(_emit(shared, s, of_rare=True), KEYS)
