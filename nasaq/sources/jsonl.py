@@ -67,7 +67,10 @@ def export(spark: SparkSession, source: str, target: str, form: str, task: str,
     for k, v in extra.items():
         data = data.withColumn(k, F.lit(v))
     # CSV has no lists; they are written as Python prints them.
-    listed = F.udf(lambda x: None if x is None else str(list(x)), "string")
+    @F.pandas_udf(StringType())
+    def listed(values: pd.Series) -> pd.Series:
+        return values.map(lambda x: str(list(x)), na_action="ignore")
+
     flat = [listed(c).alias(c) if t.startswith("array") else F.col(c) for c, t in data.dtypes]
     data.select(*flat).write.mode("overwrite").option("header", True).option("escape", '"').csv(target)
 
