@@ -56,6 +56,16 @@ def test_frequency_chooses_the_representative(spark):
     assert L.representatives({"ک": 9, "ك": 1})["ك"] == "ک"
 
 
+def test_sequences_are_counted_in_every_text(spark):
+    texts = ["لا " * 5, "كلا", "ﻻ ﻻ", "fi fi fi", "ﬁ", "e\u0301 e\u0302\u0301 ﬁ ﻻ", None, "", "ل", "ا", "ffi"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").coalesce(1)
+    counts = {r.member: r.n for r in L.member_counts(df).collect()}
+    assert (counts["لا"], counts["ﻻ"], counts["fi"], counts["ﬁ"], counts["ffi"], counts["e\u0301"]) == (6, 3, 4, 2, 1, 1)
+    assert counts["e\u0302\u0301"] == 1 and "e\u0302" not in counts  # a part of the longer one
+    r = L.corpus_rewriting(df)
+    assert r["ﻻ"] == "لا" and r["ﬁ"] == "fi" and "لا" not in r and "fi" not in r
+
+
 ROWS = "task string, item_id long, parts array<string>, text string"
 
 
