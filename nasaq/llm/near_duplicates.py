@@ -12,10 +12,12 @@ colliding pairs are filtered by length, position and a 64-bit parity sketch (eac
 word flips one bit, so the sketches differ in at most as many bits as the sets in
 words: no link is lost), made distinct, and verified on the full word sets.
 
-Equal word sets collapse before, so a hot text costs one row. A bucket that is
-still large (say, a family of variants that holds a third of all rows) is linked
-through its least member first; only pairs that this leaves in different
-components are compared. No link between different texts is lost or capped.
+Equal word sets collapse before, so a hot text costs one row. In a bucket that is
+still large (say, a family of variants that holds a third of all rows), ``groups``
+needs connections only: it is linked through its least member first, and only pairs
+that this leaves in different components are compared. ``run`` also counts the
+links, so there every pair of such a bucket is compared, in blocks of bounded size:
+no link is lost or capped, and the work grows with the pairs of the bucket.
 """
 
 from __future__ import annotations
@@ -51,7 +53,8 @@ EPS = 1e-9
 class Settings:
     """similarity: of the groups, inclusive. bucket: texts expected in one bucket at
     most before its key takes another word. depth: most words of a key. hot: rows of
-    a bucket above which it is linked through its least member first. words: most
+    a bucket above which it is linked through its least member first, or compared
+    in blocks of about so many rows. words: most
     words whose frequency is broadcast (others count as rare, which costs time but
     no link). tail: most keys of frequent words that prune the other side."""
 
@@ -274,7 +277,13 @@ class NearDuplicates:
     def run(self) -> DataFrame:
         """Rows (task, id, group_id, links): each record, the least id of its group, and the number
         of other word sets that its own is similar to."""
-        s = self.s
+        return self._grouped(every=True)
+
+    def groups(self) -> DataFrame:
+        """Rows (task, id, group_id): the groups alone, for which large buckets needn't be compared pair by pair."""
+        return self._grouped(every=False)
+
+    def _grouped(self, every: bool) -> DataFrame:
         members = stored(
             self.all.select("task", "id", "words", F.xxhash64("words", "task").alias("h1"), F.xxhash64(F.lit(1), "task", "words").alias("h2")),
             "word-sets",
@@ -284,20 +293,25 @@ class NearDuplicates:
             F.xxhash64("words", "task").alias("id"), "task", "words", "least"
         )
         sets = stored(sets, "distinct-sets")
-        links = self._links(sets)
+        links = self._links(sets, every)
         roots = components(links.select("a", "b"))
         # The group of a set is named by the least item id in its component.
         by_set = sets.select("id", "task", "least").join(roots, "id", "left").select(
             "id", "task", "least", F.coalesce("root", "id").alias("root")
         )
         names = by_set.groupBy("root").agg(F.min("least").alias("group_id"), F.count(F.lit(1)).alias("sets"))
+        named = by_set.join(names, "root")
+        items = members.select("task", F.col("id").alias("item"), F.col("h1").alias("id"))
+        if not every:
+            return items.join(named.select("id", "group_id"), "id").select("task", F.col("item").alias("id"), "group_id")
         degree = links.selectExpr("a AS id").unionByName(links.selectExpr("b AS id")).groupBy("id").agg(F.count(F.lit(1)).alias("links"))
-        named = by_set.join(names, "root").join(degree, "id", "left")
-        return members.select("task", F.col("id").alias("item"), F.col("h1").alias("id")).join(
+        named = named.join(degree, "id", "left")
+        return items.join(
             named.select("id", "group_id", F.coalesce("links", F.lit(0)).alias("links")), "id"
         ).select("task", F.col("item").alias("id"), "group_id", "links")
 
-    def _links(self, sets: DataFrame) -> DataFrame:
+    def _links(self, sets: DataFrame, every: bool) -> DataFrame:
+        """Rows (a, b) of similar sets: with ``every`` all of them, else enough to connect each group."""
         s, sc = self.s, self.spark.sparkContext
         totals = {r.task: r["count"] for r in sets.groupBy("task").count().collect()}
         frequent = (
@@ -324,21 +338,37 @@ class NearDuplicates:
         else:
             pairs, rest = None, checkpointed(rare.unionByName(tail_keys))
         sizes = rest.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-        hot = checkpointed(sizes.where(F.col("size") > s.hot).select("key"))
+        hot = checkpointed(sizes.where(F.col("size") > s.hot))
         cold = rest.join(sizes.where(F.col("size") <= s.hot).select("key"), "key", "left_semi")
         cold_pairs = self._colliding(cold, cold)
         pairs = cold_pairs if pairs is None else pairs.unionByName(cold_pairs)
         if not hot.isEmpty():
+            if every:
+                cells = self._cells(rest.join(hot, "key"))
+                pairs = pairs.unionByName(self._colliding(cells, cells, "(a.block <> b.block OR a.low = a.high)", ["key", "low", "high"]))
+                return checkpointed(self._verified(pairs, sets))
             rows = rest.join(hot, "key", "left_semi")
             pairs = pairs.unionByName(self._pivots(rows))
             links = checkpointed(self._verified(pairs, sets))
             return checkpointed(links.unionByName(self._verified(self._between(rows, links), sets)).distinct())
         return checkpointed(self._verified(pairs, sets))
 
-    def _colliding(self, larger: DataFrame, smaller: DataFrame, condition: str = "true") -> DataFrame:
-        joined = larger.alias("a").join(smaller.alias("b"), "key")
+    def _colliding(self, larger: DataFrame, smaller: DataFrame, condition: str = "true", on: list[str] = ["key"]) -> DataFrame:
+        joined = larger.alias("a").join(smaller.alias("b"), on)
         return joined.where(F.expr(f"{_pair_filter(self.s)} AND {condition}")).selectExpr("a.id AS a", "b.id AS b")
 
+    def _cells(self, rows: DataFrame) -> DataFrame:
+        """Each row of a large bucket in all cells (low, high) of two blocks, one of which is its own.
+
+        A bucket of ``size`` rows has size / hot blocks. Two rows meet in the one cell of
+        their two blocks, which has some 2 x hot rows at most.
+        """
+        blocks = F.ceil(F.col("size") / self.s.hot)
+        rows = rows.withColumn("block", F.pmod(F.xxhash64(F.lit("block"), "id"), blocks))
+        return rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))).select(
+            *NAMES, "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
+        )
+
     @staticmethod
     def _pivots(rows: DataFrame) -> DataFrame:
         """Each member of a bucket with the bucket's least member."""
@@ -360,7 +390,8 @@ class NearDuplicates:
 
     def _verified(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
         """Distinct pairs whose full word sets are similar."""
-        pairs = checkpointed(pairs.distinct())
+        # In one order, as a pair can be found both ways.
+        pairs = checkpointed(pairs.selectExpr("greatest(a, b) AS a", "least(a, b) AS b").distinct())
         release(self.spark)
         # Both joins read the same shuffle of the word sets; of those, only the ones of a pair go on.
         words = sets.select("id", "words")

@@ -35,13 +35,18 @@ def p1_collapsed(spark: SparkSession, d: str) -> DataFrame:
     return _formatting(spark, d).collapsed()
 
 
+def _near_duplicates(spark: SparkSession, d: str) -> NearDuplicates:
+    return NearDuplicates(main_texts(spark, d).withColumnRenamed("item_id", "id"))
+
+
 def p3_groups(spark: SparkSession, d: str) -> DataFrame:
-    groups = NearDuplicates(main_texts(spark, d).withColumnRenamed("item_id", "id")).run()
+    groups = _near_duplicates(spark, d).run()
     return groups.select("task", F.col("id").alias("item_id"), "group_id", "links").distinct()
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
-    return p3_groups(spark, d).where("item_id <> group_id").select("task", "group_id", "item_id")
+    groups = _near_duplicates(spark, d).groups()
+    return groups.where("id <> group_id").select("task", "group_id", F.col("id").alias("item_id")).distinct()
 
 
 def _eval_texts(spark: SparkSession, d: str) -> DataFrame:

@@ -142,6 +142,24 @@ def test_near_duplicates_hot_family_and_edges(spark):
     assert NearDuplicates(df.limit(0)).run().count() == 0
 
 
+def test_links_of_a_hot_family_are_exact(spark):
+    rng = random.Random(5)
+    common = [f"c{i}" for i in range(12)]
+    rows = [("s", i, " ".join([*common, *(f"x{j}" for j in rng.sample(range(9), rng.randint(0, 4)))])) for i in range(120)]
+    rows += [("e", i, f"c1 c2 c3 y{i % 7} y{i % 5}") for i in range(40)]
+    df = spark.createDataFrame(rows, "task string, id long, text string")
+    sets = {(task, frozenset(words_of(t))) for task, _, t in rows}
+    similar = lambda a, b: a[0] == b[0] and a != b and len(a[1] & b[1]) / len(a[1] | b[1]) >= 0.7 - 1e-9
+    degree = {a: sum(similar(a, b) for b in sets) for a in sets}
+    want = {(task, i): degree[task, frozenset(words_of(t))] for task, i, t in rows}
+    groups = brute_groups(rows, 0.7)
+    for hot in (512, 16, 5):
+        op = NearDuplicates(df, Settings(bucket=4, hot=hot))
+        got = {(r.task, r.id): (r.links, r.group_id) for r in op.run().collect()}
+        assert got == {k: (want[k], groups[k]) for k in want}
+    assert {(r.task, r.id): r.group_id for r in op.groups().collect()} == groups
+
+
 @pytest.fixture(scope="module")
 def judge(spark):
     docs = [("en", "the book is on the table and the pupil reads it"), ("ar", "الكتاب على الطاولة والطالب يقرأ الدرس"), ("fr", "le livre est sur la table et le garçon lit"), ("es", "el libro está sobre la mesa y el niño lee"), ("de", "das Buch liegt auf dem Tisch und der Junge liest")]
