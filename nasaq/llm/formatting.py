@@ -15,11 +15,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from nasaq.llm.labels import OPTION_LABEL
 from nasaq.llm.lookalikes import all_as_they_look
 from nasaq.session import stored
 
-#: An option label: a letter, perhaps in brackets, with a mark after it.
-LABEL = regex.compile(r"^\s*(?:\(\s*[A-Ea-e]\s*\)|\[\s*[A-Ea-e]\s*\]|[A-Ea-e]\s*[.):\-–—]+)\s*")
+LABEL = regex.compile(OPTION_LABEL)
 NOISE = regex.compile(r"[\p{P}\s]+")
 
 

@@ -140,6 +140,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 #: The marks that contamination.VOWEL_MARKS leaves out, in DuckDB's escapes.
 _MARKS = r"[\x{0610}-\x{061a}\x{064b}-\x{0652}\x{0656}-\x{065f}\x{0670}\x{06d6}-\x{06dc}\x{06df}-\x{06e4}\x{06e7}\x{06e8}\x{06ea}-\x{06ed}]+"
 
+#: A letter with brackets around it or a mark after it.
+_LABEL = r"^\s*(\(\s*[A-Ea-e]\s*\)|\[\s*[A-Ea-e]\s*\]|[A-Ea-e]\s*[.):\-–—]+)\s*"
+
 
 def _runs(key: str, text: str, source: str) -> str:
     """All runs of eight words: each word with the seven that follow it."""
@@ -152,5 +155,5 @@ def _runs(key: str, text: str, source: str) -> str:
 def oracle_sql() -> dict[str, str]:
     """SQL where it can express the operator; the others are tested against brute force."""
     docs = _runs("doc_id", "text", "documents")
-    items = _runs("test_id", "concat_ws(chr(10), question, array_to_string(options, chr(10)))", "eval_items")
+    items = _runs("test_id", rf"concat_ws(chr(10), question, array_to_string(list_transform(options, lambda o: regexp_replace(o, '{_LABEL}', '')), chr(10)))", "eval_items")
     return {"p4_found": f"SELECT DISTINCT doc_id, test_id FROM {docs} JOIN {items} USING (run)"}

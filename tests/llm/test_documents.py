@@ -32,7 +32,7 @@ def test_leaks_equal_brute_force(spark):
     docs = [(d, some(rng.randint(0, 60)) + rng.choice(["", " zz " + items[d % 40][1]])) for d in range(60)] + [(70, None), (71, ""), (72, "w1 " * 30_000)]
     df = spark.createDataFrame([(d, t, None, 1) for d, t in docs], DOCS)
     it = spark.createDataFrame(items, "test_id long, text string")
-    for least, block in ((4, 50_000), (6, 10)):
+    for least, block in ((4, 50_000), (6, 12)):
         rows = contamination.leaks(df, it, least, block).collect()
         assert len(rows) == len({(r.doc_id, r.test_id) for r in rows})
         assert {(r.doc_id, r.test_id) for r in rows} == brute_leaks(docs, items, least)
@@ -47,7 +47,51 @@ def test_leak_normalisation_and_cutting(spark):
     assert [r.doc_id for r in contamination.leaks(docs, items).collect()] == [1]
     out = {r.doc_id: r for r in contamination.without_leaks(docs, items).collect()}
     assert out[1].removed_words == 8 and "الأدق" not in out[1].text and out[1].text.endswith("! انتهى")
-    assert out[2].removed_words == 0 and out[3].text is None
+    # Six words of nine are over the share of half, but under one of 0.7.
+    assert out[2].removed_words == 6 and out[3].text is None
+    assert {r.doc_id: r.removed_words for r in contamination.without_leaks(docs, items, coverage=0.7).collect()} == {1: 8, 2: 0, 3: 0}
+
+
+def test_items_are_read_without_option_labels(spark):
+    q = spark.createDataFrame([(1, "one two three four five six", ["A. seven eight", "(B) nine ten", "C- eleven twelve", "D) thirteen"]), (2, "blank", None)], "test_id long, question string, options array<string>")
+    items = contamination.item_text(q)
+    assert items.first().text.split() == "one two three four five six seven eight nine ten eleven twelve thirteen".split()
+    docs = [(1, "so four five six seven eight nine ten eleven end"), (2, "seven eight, nine ten. eleven twelve thirteen one two"), (3, "eight nine ten eleven twelve thirteen A B"), (4, "one two three four five six seven eight")]
+    df = spark.createDataFrame([(i, t, None, 0) for i, t in docs], DOCS)
+    assert sorted(r.doc_id for r in contamination.leaks(df, items).collect()) == [1, 4]
+
+
+def brute_clean(text, items, least, coverage, shortest):
+    words = text.split()
+    gone = set()
+    for w in (t.split() for _, t in items):
+        need = min(least, max(shortest, -(-int(coverage * 1000 * len(w)) // 1000)))
+        for n in range(need, len(w) + 1 if len(w) >= shortest else 0):
+            runs = {tuple(w[k : k + n]) for k in range(len(w) - n + 1)}
+            for k in range(len(words) - n + 1):
+                if tuple(words[k : k + n]) in runs:
+                    gone.update(range(k, k + n))
+    return [w for i, w in enumerate(words) if i not in gone], len(gone)
+
+
+def test_cleaning_by_length_and_by_coverage(spark):
+    rng = random.Random(8)
+    some = lambda n: " ".join(f"w{rng.randrange(5)}" for _ in range(n))
+    items = [(i, some(rng.randint(1, 16))) for i in range(12)]
+    docs = [(d, some(rng.randint(0, 20)) + " zz " + items[d % 12][1] + " yy") for d in range(40)]
+    df = spark.createDataFrame([(d, t, None, 0) for d, t in docs] + [(99, None, None, 0), (0, docs[0][1], None, 0)], DOCS)
+    it = spark.createDataFrame(items, "test_id long, text string")
+    for block in (100_000, 12):
+        rows = contamination.without_leaks(df, it, 8, 0.5, 4, block).collect()
+        assert len(rows) == len(docs) + 2
+        got = {r.doc_id: r for r in rows}
+        assert got[99].text is None
+        for d, t in docs:
+            kept, n = brute_clean(t, items, 8, 0.5, 4)
+            assert (got[d].text.split(), got[d].removed_words) == (kept, n)
+    marked = spark.createDataFrame([(1, "x caf\u0065\u0301 e\u0301 " + " ".join("abcdefgh") + " x", None, 0)], DOCS)
+    item = spark.createDataFrame([(1, "caf\u00e9 \u00e9 " + " ".join("abcdefgh"))], "test_id long, text string")
+    assert contamination.without_leaks(marked, item).first().removed_words == 10
 
 
 @pytest.mark.parametrize(
