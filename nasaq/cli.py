@@ -33,6 +33,7 @@ def _parser() -> argparse.ArgumentParser:
     g.add_argument("--seed-file")
     g.add_argument("--temperature", type=float, default=0.7)
     g.add_argument("--top-p", type=float, default=0.95)
+    g.add_argument("--answer-shares", help="target shares of the answers, as A=0.4,B=0.3,C=0.2,D=0.1")
     g.add_argument("--out-path")
     a = verbs.add_parser("augment")
     a.add_argument("task")
@@ -67,6 +68,39 @@ def clean_lines(spark, path: str, task: str):
     return fuzzy_keep(kept, "row_ix", "_c", _clean.DUPLICATE).select("row_ix", "value")
 
 
+def augmented_lines(spark, path: str, task: str, variants: int):
+    """Rows (row_ix, variant_no, value): each line and its variants. A variant is its line with the changed fields put over
+    it, so unknown keys ride along; variants of a sentiment line have text and label only."""
+    if task not in SCHEMAS:
+        return jsonl.lines(spark, path).select("row_ix", F.lit(0).alias("variant_no"), jsonl.plain_line("value").alias("value"))
+    out = _augment.augment(jsonl.read(spark, path, SCHEMAS[task]), task, "row_ix", variants)
+    changed = {"exams": ["question", "options", "answer"], "sentiment": ["text", "sentiment"], "grammar": ["input", "correction"]}[task]
+    changes = F.when(F.col("variant_no") == 0, F.lit("{}")).otherwise(F.to_json(F.struct(*changed), {"ignoreNullFields": "false"}))
+    return out.select("row_ix", "variant_no", jsonl.patched("_line", changes).alias("value"))
+
+
+def load_env(path: str = ".env") -> None:
+    """Sets the variables that a file of lines NAME=VALUE names, unless they are set; no file sets nothing."""
+    if not os.path.isfile(path):
+        return
+    with open(path, encoding="utf-8") as f:
+        for line in f:
+            name, is_one, value = line.strip().removeprefix("export ").partition("=")
+            if is_one and not name.startswith("#"):
+                os.environ.setdefault(name.strip(), value.strip().strip("\"'"))
+
+
+def exists(spark, path: str) -> bool:
+    """Whether the path is there, in whatever file system it names."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def shares_of(text: str | None) -> dict[str, float] | None:
+    """A=0.4,B=0.3 as a dictionary."""
+    return {k.strip(): float(v) for k, v in (x.split("=") for x in text.split(","))} if text else None
+
+
 def at(path: str) -> str:
     """A path without a scheme is relative to the working directory, whatever the JVM's is."""
     return path if "://" in path else os.path.abspath(path)
@@ -74,10 +108,11 @@ def at(path: str) -> str:
 
 def main(argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
+    load_env()
     spark = local_session()
     if args.verb == "generate":
         drawn, texts, guide = None, [], ""
-        if args.seed_file and Path(args.seed_file).exists():
+        if args.seed_file and exists(spark, at(args.seed_file)):
             drawn = seeds.draw(jsonl.read(spark, at(args.seed_file), SCHEMAS["exams"]), args.task, "row_ix")
             texts = [r.question for r in drawn.select("question").collect()]
             guide = seeds.guidance(drawn, args.task)
@@ -85,13 +120,11 @@ def main(argv: list[str] | None = None) -> None:
                 Path("outputs").mkdir(parents=True, exist_ok=True)
                 seeds.write_audit(drawn, f"outputs/{args.task}_seeds_audit.json")
         provider = _generate.chat_provider(args.model.split(":", 1)[1], args.temperature, args.top_p) if args.model.startswith("openai:") else None
-        made = _generate.generate(spark, args.task, args.num_samples, provider, args.persona, guide, texts)
+        made = _generate.generate(spark, args.task, args.num_samples, provider, args.persona, guide, texts, shares_of(args.answer_shares))
         line = canonical(args.task, F.col("remapped") if args.task == "exams" else None)
         made.orderBy("slot").select(line.alias("value")).write.mode("overwrite").text(at(args.out_path or f"outputs/{args.task}_raw.jsonl"))
     elif args.verb == "augment":
-        rows = jsonl.read(spark, at(args.in_path), SCHEMAS[args.task]).drop("_line")
-        out = _augment.augment(rows, args.task, "row_ix", args.num_variants)
-        jsonl.write(out.orderBy("row_ix", "variant_no").drop("row_ix", "variant_no"), at(args.out_path))
+        augmented_lines(spark, at(args.in_path), args.task, args.num_variants).orderBy("row_ix", "variant_no").select("value").write.mode("overwrite").text(at(args.out_path))
     elif args.verb == "clean":
         kept = clean_lines(spark, at(args.in_path), args.task).orderBy("row_ix").select(jsonl.plain_line("value").alias("value"))
         kept.write.mode("overwrite").text(at(args.out_path))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from nasaq.functions.text import json_of_answer, normal_sentiment, strip
 from nasaq.operators.sampling import schedule
-from nasaq.operators.schema import check_task, valid
+from nasaq.operators.schema import check_task, valid, valid_json
 from nasaq.operators.similarity import unlike_seeds
 from nasaq.session import checkpointed
 
@@ -115,7 +115,9 @@ def remapped(question: Column, options: Column, answer: Column, target: Column)
 
 def _items(raw: DataFrame, task: str, seeds: list[str], most: float) -> DataFrame:
     """Valid items of raw answers: parsed, guarded against the seeds, validated, normalised, remapped."""
-    parsed = raw.where("raw IS NOT NULL").select("slot", "letter", F.from_json(json_of_answer("raw"), SCHEMAS[task]).alias("r")).select("slot", "letter", "r.*")
+    # Types are strict, and reading into columns would turn numbers into text; so the JSON itself is checked first.
+    bodies = raw.where("raw IS NOT NULL").select("slot", "letter", json_of_answer("raw").alias("body")).where(valid_json(task, "body"))
+    parsed = bodies.select("slot", "letter", F.from_json("body", SCHEMAS[task]).alias("r")).select("slot", "letter", "r.*")
     if task == "exams":
         parsed = unlike_seeds(parsed, seeds, "question", most)
     good = parsed.where(valid(task))

@@ -48,7 +48,7 @@ def valid_json(task: str, line: str = "value") -> Column:
         options = (kind("options") == "ARRAY<STRING>") & (F.size(F.try_variant_get(v, "$.options", "array<string>")) == 4)
         ok = (kind("question") == "STRING") & options & (kind("answer") == "STRING") & text("answer").isin("A", "B", "C", "D") & notes
     elif task == "sentiment":
-        label = F.regexp_replace(F.lower(text("sentiment")), r"^\s+|\s+$", "")
+        label = normal_sentiment(text("sentiment"))
         ok = (kind("text") == "STRING") & (kind("sentiment") == "STRING") & label.isin("positive", "negative", "neutral")
     elif task == "grammar":
         ok = (kind("input") == "STRING") & (kind("correction") == "STRING") & (kind("explanation") == "STRING")

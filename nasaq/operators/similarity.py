@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterable, Iterator
 
@@ -11,8 +12,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from nasaq.functions.components import components
 from nasaq.functions.text import tokens
-from nasaq.session import checkpointed
+from nasaq.session import checkpointed, spread
 
 
 def jaccard(a: Column, b: Column) -> Column:
@@ -35,15 +37,17 @@ def unlike_seeds(items: DataFrame, seeds: list[str], text: str, most: float = 0.
     return items.where(~F.exists(F.array(own), lambda o: F.exists(sets, lambda s: jaccard(o, s) > F.lit(most))))
 
 
-def nearest(items: DataFrame, key: str, text: str, real: DataFrame, real_text: str, block: int = 20_000) -> DataFrame:
+def nearest(items: DataFrame, key: str, text: str, real: DataFrame, real_text: str, block: int = 20_000, at_once: int = 8) -> DataFrame:
     """Rows (key, overlap): the largest Jaccard similarity of each item's words with any real text.
 
     Real texts are taken in blocks of bounded size, each broadcast as an inverted
-    index of word numbers; items stream past it without a shuffle. A row without
-    words, or null, has 0; so has every row if there are no real texts.
+    index of word numbers; items stream past it without a shuffle, ``at_once`` indexes
+    in one pass. An item reads the lists of its words from the rarest on, and stops
+    when no text outside the lists so far can be nearer than the best one found. A
+    row without words, or null, has 0; so has every row if there are no real texts.
     """
     spark = items.sparkSession
-    real = real.select(F.array_distinct(tokens(real_text)).alias("words")).where(F.size("words") > 0)
+    real = real.select(F.sort_array(F.array_distinct(tokens(real_text))).alias("words")).where(F.size("words") > 0).distinct()
     n_blocks = max(1, -(-real.count() // block))
     out = items.select(key, F.array_distinct(tokens(text)).alias("words"), F.lit(0.0).alias("overlap"))
     kind = items.schema[key].dataType.simpleString()
@@ -57,148 +61,200 @@ def nearest(items: DataFrame, key: str, text: str, real: DataFrame, real_text: s
             ({w: np.array(x, np.int32) for w, x in index.items()}, np.array([len(r.words) for r in rows], np.int64))
         )
         out = out.mapInArrow(_nearest_in(shared), f"`{key}` {kind}, words array<string>, overlap double")
+        if b + 1 < n_blocks and (b + 1) % at_once == 0:
+            out = checkpointed(out)
     return out.select(key, "overlap")
 
 
 def _nearest_in(shared):
+    def one(index: dict, sizes: np.ndarray, words: list[str], best: float) -> float:
+        n = len(words)
+        lists = sorted((index[w] for w in words if w in index), key=len)
+        read, looked = 0, 1
+        while read < len(lists):
+            # A text in none of the lists read holds at most the words that are left.
+            if best >= (len(lists) - read) / n:
+                break
+            read = min(len(lists), read + looked)
+            looked *= 2
+            ids, held = np.unique(np.concatenate(lists[:read]), return_counts=True)
+            best = max(best, float((held / (n + sizes[ids] - held)).max()))
+        if 0 < read < len(lists):
+            # Those that were met may hold words of the lists that weren't read.
+            most = held + len(lists) - read
+            open_ids = ids[most / np.maximum(n + sizes[ids] - most, 1) > best]
+            if len(open_ids):
+                all_held = sum((np.isin(open_ids, x, assume_unique=True) for x in lists), np.zeros(len(open_ids), np.int64))
+                best = max(best, float((all_held / (n + sizes[open_ids] - all_held)).max()))
+        return best
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, sizes = shared.value
         for batch in batches:
-            best = []
-            for words, so_far in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                hits = [index[w] for w in words or () if w in index]
-                if hits:
-                    both = np.bincount(np.concatenate(hits), minlength=len(sizes))
-                    so_far = max(so_far, float((both / (len(words) + sizes - both)).max()))
-                best.append(so_far)
+            best = [one(index, sizes, w, x) if w else x for w, x in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(best, pa.float64())], names=batch.schema.names)
 
     return run
 
 
-BASE = math.log(1 / 0.929)  # a little loose, so that no exact ratio is lost to rounding
-
-
-def _bags(texts: list[str], width: int, q: int) -> np.ndarray:
-    """Counts of the hashed q-grams of each text in ``width`` buckets."""
-    out = np.zeros((len(texts), width), np.int16)
-    for i, t in enumerate(texts):
-        points = np.frombuffer(t.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
-        h = np.zeros(max(0, len(points) - q + 1), np.uint64)
-        for k in range(q):
-            h = h * np.uint64(1_000_003) + points[k : k + len(h)]
-        h = (h ^ (h >> np.uint64(17))) * np.uint64(0x9E3779B97F4A7C15)
-        out[i] = np.minimum(np.bincount((h >> np.uint64(40)).astype(np.int64) % width, minlength=width), 32_000)
-    return out
-
-
-def _candidates(threshold: float, q: int = 4):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        """Pairs of the two sides of a block pair that may be similar; both tests are lossless:
-        an edit moves a character bag by at most 1 and takes at most q shared q-grams."""
-        left, right = pdf[pdf["side"] != 1], pdf[pdf["side"] != 0]
-        if not len(left) or not len(right):
-            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
-        texts = pdf["s"].tolist()
-        bags, place = _bags(texts, 64, 1), {ix: k for k, ix in enumerate(pdf["ix"])}
-        grams: dict[int, np.ndarray] = {}
-        r_ix, r_len = right["ix"].to_numpy(), right["len"].to_numpy()
-        r_rows = np.array([place[i] for i in r_ix])
-        r_bags = bags[r_rows]
-        out: list[tuple[int, int]] = []
-
-        def gram(k: int) -> np.ndarray:
-            if k not in grams:
-                grams[k] = _bags([texts[k]], 1024, q)[0]
-            return grams[k]
-
-        same = bool((pdf["side"] == 2).all())
-        for ix, n in zip(left["ix"], left["len"], strict=True):
-            longer = np.maximum(r_len, n)
-            cap = np.ceil((1 - threshold) * longer + 1e-9)
-            fits = np.flatnonzero((np.minimum(r_len, n) >= (threshold - 1e-3) * longer) & ((r_ix > ix) if same else True))
-            if not len(fits):
-                continue
-            k = place[ix]
-            diff = r_bags[fits].astype(np.int32) - bags[k]
-            near = fits[np.maximum(np.maximum(diff, 0).sum(1), np.maximum(-diff, 0).sum(1)) <= cap[fits]]
-            mine = gram(k)
-            for j in near:
-                need = longer[j] - q + 1 - q * cap[j]
-                if need <= 0 or np.minimum(mine, gram(r_rows[j])).sum() >= need:
-                    out.append((min(ix, r_ix[j]), max(ix, r_ix[j])))
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+def most_edits(longer: int, threshold: float) -> int:
+    """Of two texts that are similar, by the length of the longer one."""
+    return math.floor((1 - threshold) * longer + 1e-9)
+
+
+@functools.lru_cache(200_000)
+def _pieces(n: int, threshold: float, spare: float) -> tuple[int, int]:
+    """(number, length) of the pieces of a text of n characters: more than edits that any longer similar text can take."""
+    edits = most_edits(math.floor(n / threshold + 1e-9), threshold)
+    if not edits or n <= edits:
+        return 0, 0  # only equal texts are similar; or so short that a piece would be empty
+    number = min(n, math.ceil((1 + spare) * (edits + 1)))
+    return number, n // number
+
+
+def _hashes(points: np.ndarray, width: int) -> np.ndarray:
+    """64-bit hashes of all runs of ``width`` code points."""
+    out = np.full(max(0, len(points) - width + 1), width, np.uint64)
+    for k in range(width):
+        out = out * np.uint64(0x9E3779B97F4A7C15) + points[k : k + len(out)]
+        out ^= out >> np.uint64(31)
+    return out.view(np.int64)
+
+
+def _places(n: int, threshold: float) -> int:
+    """The width of a bucket of places, by the length of the shorter text: a power of two above twice the most edits."""
+    return 1 << (2 * most_edits(math.floor(n / threshold + 1e-9), threshold)).bit_length()
+
+
+@functools.lru_cache(200_000)
+def _forms(n: int, threshold: float, spare: float) -> list[tuple[int, int]]:
+    """(length, bucket width) of the pieces of all shorter texts that can be similar to one of n characters."""
+    edits = most_edits(n, threshold)
+    widths = {(_pieces(k, threshold, spare)[1], _places(k, threshold)) for k in range(max(1, n - edits), n + 1)} if edits else set()
+    return sorted(x for x in widths if x[0])
+
+
+def _keys(threshold: float, spare: float, of_pieces: bool):
+    """Keys of (ix, s): the pieces of each text, or else all its runs of the lengths that pieces of a shorter similar text can have.
+
+    A key is the hash of the characters and of the bucket of their place; a run has the
+    buckets of all places that edits can move it to.
+    """
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, at, many = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)], []
+            lengths = []
+            for s in batch.column(1).to_pylist():
+                n = len(s)
+                lengths.append(n)
+                number, width = _pieces(n, threshold, spare)
+                forms = ([(width, _places(n, threshold))] if number else []) if of_pieces else _forms(n, threshold, spare)
+                points = np.frombuffer(s.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64) if forms else None
+                count, moved = 0, most_edits(n, threshold)
+                for w, bucket in forms:
+                    h = _hashes(points, w) * np.int64(31) + bucket
+                    places = np.arange(0, number * w, w) if of_pieces else np.arange(len(h))
+                    h, first = h[places], places if of_pieces else np.maximum(places - moved, 0)
+                    made = [(h ^ (first // bucket) * MIX, places)]
+                    if not of_pieces:
+                        two = np.flatnonzero((places + moved) // bucket > first // bucket)
+                        made.append((h[two] ^ ((places[two] + moved) // bucket) * MIX, places[two]))
+                    for k, p in made:
+                        keys.append(k)
+                        at.append(p.astype(np.int32))
+                        count += len(p)
+                many.append(count)
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            columns = [np.concatenate(keys), np.repeat(ids, many), np.repeat(np.array(lengths, np.int32), many), np.concatenate(at)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "ix", "n", "at"])
 
     return run
 
 
-def similar_pairs(rows: DataFrame, threshold: float = 0.93, block: int = 1500) -> DataFrame:
+MIX = np.int64(0x5851F42D4C957F2D)
+KEYS = "key long, ix long, n int, at int"
+
+
+def similar_pairs(rows: DataFrame, threshold: float = 0.93, spare: float = 1.5, proof: float = 0.1) -> DataFrame:
     """Pairs (a, b), a < b, of (ix long unique, s string distinct) with normalised Levenshtein similarity of at least ``threshold``.
 
-    Lengths of similar texts differ by at most the threshold, so texts meet in
-    length buckets and the next one; buckets are cut into blocks and every pair of
-    blocks is one task of bounded size. Candidates are verified by the capped
-    Levenshtein distance in double arithmetic.
+    Published idea: Li et al., "Pass-Join" (PVLDB 2011). Two similar texts differ by k
+    edits at most, and an edit changes one of the disjoint pieces of the shorter text at
+    most; the others stand unchanged in the longer one, at most k places away: an
+    equi-join of pieces and runs finds every similar pair. A text is cut into ``spare``
+    more pieces than k + 1 and keeps its rarest ones, so common parts (the keys of JSON,
+    say) make no key; it keeps ``proof`` more than k + 1, so a pair must collide in
+    that many pieces. Only such pairs are compared, by the capped Levenshtein distance
+    in double arithmetic. The empty text is similar to itself alone.
     """
-    rows = rows.select("ix", "s", F.length("s").alias("len"))
-    bucket = F.when(F.col("len") == 0, F.lit(-5)).otherwise(F.floor(F.log(F.col("len").cast("double")) / F.lit(BASE))).cast("int")
-    rows = checkpointed(rows.withColumn("bucket", bucket))
-    # At most a few hundred length buckets at any size of the input.
-    blocks = {r.bucket: -(-r["count"] // block) for r in rows.groupBy("bucket").count().collect()}
-    if not blocks:
-        return rows.select(F.col("ix").alias("a"), F.col("ix").alias("b")).limit(0)
-    n = F.element_at(F.create_map(*[F.lit(x) for kv in blocks.items() for x in kv]), F.col("bucket"))
-    n_next = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in blocks.items() for x in kv]), F.col("bucket") + 1), F.lit(0))
-    n_last = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in blocks.items() for x in kv]), F.col("bucket") - 1), F.lit(0))
-    rows = rows.withColumn("blk", F.pmod(F.xxhash64("ix"), n).cast("int"))
-    i = F.col("blk")
-
-    def row(bucket_: Column, x: Column, next_: Column, y: Column, side: Column) -> Column:
-        return F.struct(bucket_.alias("g1"), x.alias("g2"), next_.alias("g3"), y.alias("g4"), side.cast("int").alias("side"))
-
-    here = F.col("bucket")
-    within = F.transform(
-        F.sequence(F.lit(0), n.cast("int") - 1),
-        lambda j: row(here, F.least(i, j), here, F.greatest(i, j), F.when(i == j, 2).when(i < j, 0).otherwise(1)),
-    )
-    up = F.transform(F.sequence(F.lit(0), F.greatest(n_next.cast("int") - 1, F.lit(0))), lambda j: row(here, i, here + 1, j, F.lit(0)))
-    down = F.transform(F.sequence(F.lit(0), F.greatest(n_last.cast("int") - 1, F.lit(0))), lambda j: row(here - 1, j, here, i, F.lit(1)))
-    none = F.slice(within, 1, 0)
-    places = F.concat(within, F.when(n_next > 0, up).otherwise(none), F.when(n_last > 0, down).otherwise(none))
-    spread = rows.withColumn("p", F.explode(places)).select("ix", "s", "len", "p.*")
-    pairs = checkpointed(spread.groupBy("g1", "g2", "g3", "g4").applyInPandas(_candidates(threshold), "a long, b long").distinct())
-    texts = rows.select("ix", "s")
-    both = pairs.join(texts.select(F.col("ix").alias("a"), F.col("s").alias("sa")), "a").join(texts.select(F.col("ix").alias("b"), F.col("s").alias("sb")), "b")
-    longer = F.greatest(F.length("sa"), F.length("sb"))
+    rows = spread(rows.select("ix", "s").where("length(s) > 0"), F.length("s"), 1_000_000)
+    edits = lambda n: F.floor(F.lit(1 - threshold) * n + F.lit(1e-9))
+    pieces = rows.mapInArrow(_keys(threshold, spare, True), KEYS)
+    often = pieces.groupBy("key").agg(F.count(F.lit(1)).alias("often"))
+    needed = F.ceil((edits(F.floor(F.col("n") / F.lit(threshold) + F.lit(1e-9))) + 1) * F.lit(1 + proof))
+    rarest = F.slice(F.sort_array(F.collect_list(F.struct("often", "key", "at"))), F.lit(1), F.first(needed).cast("int"))
+    kept = pieces.join(often, "key").groupBy("ix").agg(F.first("n").alias("n"), rarest.alias("p"))
+    index = kept.select("ix", "n", F.size("p").alias("kept"), F.inline("p")).select("key", F.col("ix").alias("x"), F.col("n").alias("nx"), "kept", F.col("at").alias("px"))
+    runs = rows.mapInArrow(_keys(threshold, spare, False), KEYS)
+    k = edits(F.col("n"))
+    met = runs.join(index, "key").where((F.col("nx") <= F.col("n")) & (F.col("ix") != F.col("x")) & (F.col("n") - F.col("nx") <= k) & (F.abs(F.col("at") - F.col("px")) <= k))
+    pairs = (
+        met.groupBy("x", "ix").agg(F.count(F.lit(1)).alias("found"), F.first(F.col("kept") - k).alias("least")).where("found >= least")
+        .select(F.least("ix", "x").alias("a"), F.greatest("ix", "x").alias("b")).distinct()
+    )
+    pairs = spread(pairs, F.lit(1), 5_000)
+    both = pairs.join(rows.select(F.col("ix").alias("a"), F.col("s").alias("sa")), "a").join(rows.select(F.col("ix").alias("b"), F.col("s").alias("sb")), "b")
     # A cap that depends on the row needs the SQL form.
-    both = both.withColumn("m", longer).withColumn("d", F.expr(f"levenshtein(sa, sb, CAST(ceil({1 - threshold!r}D * m) AS INT) + 1)"))
-    return both.where((F.col("m") == 0) | ((F.col("d") >= 0) & (1.0 - F.col("d") / F.col("m").cast("double") >= F.lit(threshold)))).select("a", "b")
+    both = both.repartition(pairs.rdd.getNumPartitions()).withColumn("m", F.greatest(F.length("sa"), F.length("sb"))).withColumn("d", F.expr(f"levenshtein(sa, sb, CAST(ceil({1 - threshold!r}D * m) AS INT) + 1)"))
+    return both.where((F.col("d") >= 0) & (1.0 - F.col("d") / F.col("m").cast("double") >= F.lit(threshold))).select("a", "b")
+
+
+def _drops_of(links: Iterable[tuple[int, int]]) -> list[int]:
+    """The ids that the sequential rule drops, over links (a, b) with a < b."""
+    earlier: dict[int, list[int]] = {}
+    for a, b in links:
+        earlier.setdefault(b, []).append(a)
+    dropped: set[int] = set()
+    for b in sorted(earlier):
+        if any(a not in dropped for a in earlier[b]):
+            dropped.add(b)
+    return sorted(dropped)
 
 
-def first_kept(pairs: DataFrame, most_rounds: int = 10_000) -> DataFrame:
+def first_kept(pairs: DataFrame, most_links: int = 200_000, most_rounds: int = 10_000) -> DataFrame:
     """Ids (ix) that the sequential rule drops: an id is dropped if an earlier kept one is similar to it.
 
-    Rounds decide every id whose earlier neighbours are decided; as many rounds as
-    the longest chain of similar ids. State and pairs stay distributed.
+    The rule is decided inside connected components. Components of at most
+    ``most_links`` links are hashed into tasks of about as many links; larger ones are
+    decided together in rounds, which stay distributed: a round decides every id whose
+    earlier neighbours are decided, so they take as many rounds as the longest chain
+    of similar ids. More rounds than ``most_rounds`` are an error, never a partial result.
     """
-    pairs = checkpointed(pairs.select("a", "b").distinct())
-    ids = pairs.selectExpr("a AS ix").unionByName(pairs.selectExpr("b AS ix")).distinct()
-    kept = None
-    dropped = None
-    todo = checkpointed(ids)
-    edges = pairs
-    for _ in range(most_rounds):
-        if todo.isEmpty():
-            break
-        # Ids without an undecided earlier neighbour are kept; their later neighbours are dropped.
-        keep = checkpointed(todo.join(edges.selectExpr("b AS ix").distinct(), "ix", "left_anti"))
+    pairs = checkpointed(pairs.where("a < b").select("a", "b").distinct())
+    roots = components(pairs)
+    sizes = pairs.join(roots.select(F.col("id").alias("a"), "root"), "a").groupBy("root").agg(F.count(F.lit(1)).alias("links"))
+    rooted = checkpointed(pairs.join(roots.select(F.col("id").alias("a"), "root"), "a").join(sizes, "root"))
+    small = rooted.where(F.col("links") <= most_links)
+    tasks = -(-small.count() // most_links) or 1
+
+    def decide(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"ix": _drops_of(zip(pdf["a"].tolist(), pdf["b"].tolist(), strict=True))}, dtype="int64")
+
+    dropped = small.groupBy(F.pmod(F.xxhash64("root"), F.lit(tasks)).alias("t")).applyInPandas(decide, "ix long")
+    edges = checkpointed(rooted.where(F.col("links") > most_links).select("a", "b"))
+    rounds = 0
+    while not edges.isEmpty():
+        if rounds == most_rounds:
+            raise RuntimeError(f"similar ids did not settle in {most_rounds} rounds")
+        rounds += 1
+        # An id without an undecided earlier neighbour is kept; its later neighbours are dropped, with their links.
+        keep = edges.selectExpr("a AS ix").distinct().join(edges.selectExpr("b AS ix").distinct(), "ix", "left_anti")
         drop = checkpointed(edges.join(keep.selectExpr("ix AS a"), "a", "left_semi").selectExpr("b AS ix").distinct())
-        kept = keep if kept is None else kept.unionByName(keep)
-        dropped = drop if dropped is None else dropped.unionByName(drop)
-        gone = keep.unionByName(drop)
-        todo = checkpointed(todo.join(gone, "ix", "left_anti"))
-        edges = checkpointed(edges.join(gone.selectExpr("ix AS a"), "a", "left_anti").join(drop.selectExpr("ix AS b"), "b", "left_anti"))
-    return ids.limit(0) if dropped is None else dropped
+        dropped = dropped.unionByName(drop)
+        edges = edges.join(drop.selectExpr("ix AS a"), "a", "left_anti")
+        edges = checkpointed(edges.join(drop.selectExpr("ix AS b"), "b", "left_anti"))
+    return dropped
 
 
 def fuzzy_keep(rows: DataFrame, order: str, text: str, threshold: float = 0.93) -> DataFrame:

@@ -134,7 +134,7 @@ def oracle_sql() -> dict[str, str]:
     out["word_counts"] = f"SELECT doc_id, {words('text')} AS words FROM documents"
     out["type_token_ratios"] = f"SELECT doc_id, {ttr('text')} AS ttr FROM documents"
     out["schema_validate"] = each("{valid} AS valid, count(*) AS n", group="GROUP BY 1")
-    out["json_schema_validate"] = out["schema_validate"]
+    out["json_schema_validate"] = each("(item_id % 20 > 3 AND {valid}) AS valid, count(*) AS n", group="GROUP BY 1")
     out["length_filter"] = each("item_id, {words} AS words", "{length}")
     out["ttr_filter"] = each("item_id", "{variety}")
     out["length_ttr_clean"] = each("count(*) AS kept, avg({words}) AS avg_words", "{valid} AND {length} AND {variety}")
@@ -188,6 +188,8 @@ def oracle_sql() -> dict[str, str]:
     own, theirs = f"list_distinct({toks('e.question')})", f"list_distinct({toks('s.question')})"
     inter = f"len(list_intersect({own}, {theirs}))"
     out["seed_leakage_guard"] = f"SELECT item_id FROM exam_items e WHERE NOT EXISTS (SELECT 1 FROM {SEEDS} s WHERE e.question IS NOT NULL AND {inter}::DOUBLE / greatest(1, len({own}) + len({theirs}) - {inter}) > 0.2::DOUBLE)"
+    sets = f"(SELECT item_id, question FROM exam_items UNION ALL SELECT -test_id - 1, question || ' more' FROM {SEEDS} UNION ALL SELECT -test_id - 100001, array_to_string({toks('question')}[1:greatest(1, floor(len({toks('question')}) * 0.5)::INT)], ' ') FROM {SEEDS})"
+    out["seed_guard_default"] = f"SELECT item_id FROM {sets} e WHERE NOT EXISTS (SELECT 1 FROM {SEEDS} s WHERE e.question IS NOT NULL AND {inter}::DOUBLE / greatest(1, len({own}) + len({theirs}) - {inter}) > 0.7::DOUBLE)"
     nearest = f"""
       WITH q AS (SELECT DISTINCT question FROM exam_items), a AS (SELECT question, unnest(list_distinct({toks('question')})) AS w, len(list_distinct({toks('question')})) AS n FROM q),
       b AS (SELECT test_id, unnest(list_distinct({toks('question')})) AS w, len(list_distinct({toks('question')})) AS n FROM eval_items),
@@ -209,7 +211,11 @@ def oracle_sql() -> dict[str, str]:
     out["eval_exams_answers"] = "SELECT answer AS value, count(*) AS n FROM exam_items GROUP BY 1"
     out["eval_sentiment"] = "SELECT count(*) AS num_items, count(*) FILTER (coalesce(sentiment, '') = '') AS missing_sentiments FROM sentiment_items"
     out["eval_sentiment_labels"] = f"SELECT {strip('lower(sentiment)')} AS value, count(*) AS n FROM sentiment_items GROUP BY 1"
-    out["export_metadata"] = "SELECT item_id, input, 'grammar' AS _task, 'tutor' AS _persona, 'b1' AS _batch_id FROM grammar_items"
+    once = lambda t, cs: f"SELECT item_id, {', '.join(f'any_value({c}) AS {c}' for c in cs)} FROM {t} GROUP BY item_id"
+    out["export_metadata"] = f"SELECT *, 'grammar' AS _task, 'tutor' AS _persona, 'b1' AS _batch_id FROM ({once('grammar_items', ['input', 'correction'])})"
+    out["export_csv"] = f"SELECT item_id, nullif(question, '') AS question, grade, 'exams' AS _task, 'b1' AS _batch_id, CASE WHEN options IS NOT NULL THEN len(options) > 0 END AS listed FROM ({once('exam_items', ['question', 'options', 'grade'])})"
+    out["jsonl_round_trip"] = once("exam_items", ["question", "options", "answer", "notes"])
+    out["exam_csv_round_trip"] = f"SELECT item_id, grade, subject, 'Arabic' AS language FROM ({once('exam_items', ['grade', 'subject'])})"
     out["parse_meta"] = "SELECT item_id, CASE WHEN subject IS NOT NULL THEN grade END AS grade, subject, CASE WHEN subject IS NOT NULL THEN 'Arabic' END AS language FROM exam_items"
     # DuckDB's lambda syntax.
     return {k: re.sub(r"\b([a-z]+) -> ", r"lambda \1: ", v) for k, v in out.items()}

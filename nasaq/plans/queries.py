@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,8 @@ from nasaq.operators import schema as V
 from nasaq.operators import seeds as D
 from nasaq.operators import similarity as M
 from nasaq.operators import tstr
+from nasaq.session import shared_dir
+from nasaq.sources import exam_csv, jsonl
 from nasaq.sources.exam_csv import parsed_meta
 from nasaq.sources.tables import records, table
 
@@ -57,7 +60,16 @@ def schema_validate(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def json_schema_validate(spark: SparkSession, d: str) -> DataFrame:
-    made = lambda t: items(spark, d, t).select("item_id", T.canonical(t).alias("value"))
+    # A fifth of the lines is malformed or of the wrong types: cut short, a number as the first text, a list as a text, a field left out.
+    def made(t: str) -> DataFrame:
+        line, broken = T.canonical(t), F.pmod("item_id", F.lit(20))
+        first = {"exams": "question", "sentiment": "text", "grammar": "input"}[t]
+        field = F.concat(F.lit(f'"{first}": '), T.json_string(first))
+        wrong = F.when(broken == 0, F.substring(line, F.lit(1), F.length(line) - 1))
+        wrong = wrong.when(broken == 1, F.replace(line, field, F.lit(f'"{first}": 5'))).when(broken == 2, F.replace(line, field, F.lit(f'"{first}": ["x"]')))
+        wrong = wrong.when(broken == 3, F.replace(line, F.lit(f'"{first}"'), F.lit('"other"'))).otherwise(line)
+        return items(spark, d, t).select("item_id", wrong.alias("value"))
+
     return each_task(lambda t: made(t).groupBy(V.valid_json(t).alias("valid")).agg(F.count(F.lit(1)).alias("n")))
 
 
@@ -199,6 +211,17 @@ def seed_leakage_guard(spark: SparkSession, d: str) -> DataFrame:
     return M.unlike_seeds(items(spark, d, "exams"), seeds, "question", 0.2).select("item_id")
 
 
+@query
+def seed_guard_default(spark: SparkSession, d: str) -> DataFrame:
+    seeds = [r.question for r in _seeds(spark, d).select("question").collect()]
+    # Beside the items, each seed with a word more (too near) and each with its words but two (near enough to be taken).
+    texts = items(spark, d, "exams").select("item_id", "question")
+    made = _seeds(spark, d).select("test_id", "question", T.tokens("question").alias("w"))
+    near = made.select((-F.col("test_id") - 1).alias("item_id"), F.concat("question", F.lit(" more")).alias("question"))
+    far = made.select((-F.col("test_id") - 100_001).alias("item_id"), F.array_join(F.slice("w", F.lit(1), F.greatest(F.lit(1), F.floor(F.size("w") * F.lit(0.5)).cast("int"))), " ").alias("question"))
+    return M.unlike_seeds(texts.unionByName(near).unionByName(far), seeds, "question").select("item_id")
+
+
 @query
 def nearest_real_overlap(spark: SparkSession, d: str) -> DataFrame:
     return M.nearest(items(spark, d, "exams"), "item_id", "question", table(spark, d, "eval_items"), "question")
@@ -267,13 +290,47 @@ def eval_grammar(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def export_metadata(spark: SparkSession, d: str) -> DataFrame:
-    return items(spark, d, "grammar").select("item_id", "input").withColumns({"_task": F.lit("grammar"), "_persona": F.lit("tutor"), "_batch_id": F.lit("b1")})
+    path = _scratch(spark, "export")
+    rows = records(items(spark, d, "grammar"), "item_id").select("item_id", "input", "correction")
+    jsonl.write(rows, f"{path}/in")
+    jsonl.export(spark, f"{path}/in", f"{path}/out", "jsonl", "grammar", "tutor", "b1")
+    fields = "item_id long, input string, correction string, _task string, _persona string, _batch_id string"
+    return jsonl.read(spark, f"{path}/out", fields).drop("row_ix", "_line")
+
+
+@query
+def export_csv(spark: SparkSession, d: str) -> DataFrame:
+    path = _scratch(spark, "export-csv")
+    jsonl.write(records(items(spark, d, "exams"), "item_id").select("item_id", "question", "options", "grade"), f"{path}/in")
+    jsonl.export(spark, f"{path}/in", f"{path}/out", "csv", "exams", batch_id="b1")
+    read = spark.read.options(header=True, escape='"', multiLine=True, nullValue="").csv(f"{path}/out")
+    return read.select(F.col("item_id").cast("long"), "question", F.col("grade").cast("int"), "_task", "_batch_id", F.col("options").startswith("[").alias("listed"))
+
+
+@query
+def jsonl_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    path = _scratch(spark, "jsonl")
+    jsonl.write(records(items(spark, d, "exams"), "item_id").select("item_id", "question", "options", "answer", "notes"), path)
+    return jsonl.read(spark, path, "item_id long, question string, options array<string>, answer string, notes string").drop("row_ix", "_line")
+
+
+@query
+def exam_csv_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    path = f"{_scratch(spark, 'exam-csv')}/exams.csv"
+    rows = records(items(spark, d, "exams"), "item_id")
+    exam_csv.write(rows.select(F.col("item_id").cast("string").alias("id"), F.col("question").alias("qdict"), "answer", "grade", "subject", F.lit("Arabic").alias("language")), path)
+    return exam_csv.read(spark, path).select(F.col("id").cast("long").alias("item_id"), "grade", "subject", "language")
+
+
+def _scratch(spark: SparkSession, name: str) -> str:
+    """A new folder in the shared one."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 @query
 def parse_meta(spark: SparkSession, d: str) -> DataFrame:
     literal = F.concat(F.lit("{'grade': "), F.coalesce(F.col("grade").cast("string"), F.lit("None")), F.lit(", 'subject': '"), F.col("subject"), F.lit("', 'language': 'Arabic'}"))
-    return items(spark, d, "exams").select("item_id", parsed_meta(F.regexp_replace(literal, "None", "null")).alias("m")).select("item_id", "m.*")
+    return items(spark, d, "exams").select("item_id", parsed_meta(literal).alias("m")).select("item_id", "m.*")
 
 
 @query

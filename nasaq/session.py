@@ -16,7 +16,8 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(cores: str = "*", partitions: int = 8) -> SparkSession:
@@ -75,6 +76,16 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(df: DataFrame, work: Column, per_task: int) -> DataFrame:
+    """The same rows checkpointed, in tasks of about ``per_task`` units of work each, not fewer than the cores.
+
+    For steps whose cost isn't that of their bytes, which is what partitions are sized by otherwise.
+    """
+    df = checkpointed(df)
+    units = df.agg(F.sum(work)).first()[0] or 0
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, -(-units // per_task)))
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The same rows written as a Parquet table in the shared folder and read back."""
     spark = df.sparkSession

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ast
+import json
 import re
 
 import pandas as pd
@@ -28,9 +29,22 @@ def parsed_question(qdict: pd.Series) -> pd.Series:
     return qdict.map(one, na_action="ignore")
 
 
+@F.pandas_udf(StringType())
+def _as_json(literal: pd.Series) -> pd.Series:
+    """A Python literal as JSON, with None as null; what is no literal stays as it is."""
+
+    def one(x: str) -> str:
+        try:
+            return json.dumps(ast.literal_eval(x), ensure_ascii=False)
+        except (ValueError, SyntaxError, TypeError, MemoryError, RecursionError):
+            return x
+
+    return literal.map(one, na_action="ignore")
+
+
 def parsed_meta(meta: str | Column) -> Column:
-    """struct(grade, subject, language) of a literal; null fields where it can't be parsed."""
-    return F.from_json(F.col(meta) if isinstance(meta, str) else meta, META)
+    """struct(grade, subject, language) of a literal; null for None, and null fields where it can't be parsed."""
+    return F.from_json(_as_json(F.col(meta) if isinstance(meta, str) else meta), META)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
@@ -43,6 +57,6 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
 def write(df: DataFrame, path: str) -> None:
     """The same form again: meta packed into one literal, no header."""
-    quote = lambda c: F.coalesce(F.concat(F.lit("'"), F.replace(F.col(c), F.lit("'"), F.lit("\\'")), F.lit("'")), F.lit("None"))
+    quote = lambda c: F.coalesce(F.concat(F.lit("'"), F.replace(F.replace(F.replace(F.col(c), F.lit("\\"), F.lit("\\\\")), F.lit("'"), F.lit("\\'")), F.lit("\n"), F.lit("\\n")), F.lit("'")), F.lit("None"))
     meta = F.concat(F.lit("{'grade': "), F.coalesce(F.col("grade").cast("string"), F.lit("None")), F.lit(", 'subject': "), quote("subject"), F.lit(", 'language': "), quote("language"), F.lit("}"))
-    df.select("id", "qdict", "answer", meta.alias("meta")).write.mode("overwrite").option("escape", '"').csv(path)
+    df.select("id", "qdict", "answer", meta.alias("meta")).write.mode("overwrite").options(escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)

@@ -7,7 +7,7 @@ import json
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, StringType
 
 from nasaq.functions.text import strip
 
@@ -51,7 +51,12 @@ def write(df: DataFrame, path: str) -> None:
 
 
 def export(spark: SparkSession, source: str, target: str, form: str, task: str, persona: str | None = None, batch_id: str | None = None) -> None:
-    """Copies JSON lines with metadata fields _task, _persona and _batch_id (the last two only if given) as jsonl or csv."""
+    """Copies JSON lines with metadata fields _task, _persona and _batch_id (the last two only if given) as jsonl or csv.
+
+    Rows keep their order. A CSV's columns are all keys in the order in which they are
+    seen first; lists, objects and truth values are written as Python prints them,
+    null and a missing key as nothing.
+    """
     if form not in ("jsonl", "csv"):
         raise ValueError("the format must be jsonl or csv")
     extra = {"_task": task} | ({"_persona": persona} if persona else {}) | ({"_batch_id": batch_id} if batch_id else {})
@@ -63,14 +68,28 @@ def export(spark: SparkSession, source: str, target: str, form: str, task: str,
 
         rows.sort("row_ix").select(with_extra("value")).write.mode("overwrite").text(target)
         return
-    data = spark.read.json(source, mode="FAILFAST")
-    for k, v in extra.items():
-        data = data.withColumn(k, F.lit(v))
-    # CSV has no lists; they are written as Python prints them.
-    @F.pandas_udf(StringType())
-    def listed(values: pd.Series) -> pd.Series:
-        return values.map(lambda x: str(list(x)), na_action="ignore")
+    keys = [*_keys(rows), *[k for k in extra]]
+    keys = list(dict.fromkeys(keys))
+
+    @F.pandas_udf(ArrayType(StringType()))
+    def cells(line: pd.Series) -> pd.Series:
+        def shown(v: object) -> str | None:
+            return v if v is None or isinstance(v, str) else str(v)
+
+        return line.map(lambda x: [shown((json.loads(x) | extra).get(k)) for k in keys])
 
-    flat = [listed(c).alias(c) if t.startswith("array") else F.col(c) for c, t in data.dtypes]
-    data.select(*flat).write.mode("overwrite").option("header", True).option("escape", '"').csv(target)
+    table = rows.sort("row_ix").select(cells("value").alias("c")).select(*[F.col("c")[i].alias(k) for i, k in enumerate(keys)])
+    table.write.mode("overwrite").options(header=True, escape='"', emptyValue="", nullValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(target)
 
+
+def _keys(rows: DataFrame) -> list[str]:
+    """The keys of all lines in the order in which they are seen first. As many rows as keys reach the driver."""
+    seen = rows.select("row_ix", F.posexplode(F.json_object_keys("value")).alias("at", "k"))
+    firsts = seen.groupBy("k").agg(F.min(F.struct("row_ix", "at")).alias("first"))
+    return [r.k for r in firsts.orderBy("first").collect()]
+
+
+@F.pandas_udf(StringType())
+def patched(line: pd.Series, changes: pd.Series) -> pd.Series:
+    """A line of JSON with the fields of another one put over its own; other keys and their order stay. A null line is an empty object."""
+    return pd.Series([json.dumps((json.loads(a) if a else {}) | json.loads(b), ensure_ascii=False) for a, b in zip(line, changes, strict=True)])

@@ -94,6 +94,26 @@ def test_provider_rounds_are_bounded(spark):
     assert generate.generate(spark, "sentiment", 2, lambda p: "no json", rounds=2).count() == 0
 
 
+def test_generation_is_strict_about_types(spark):
+    good = {"question": "q", "options": ["A. a", "B. b", "C. c", "D. d"], "answer": "A"}
+    answers = [good | {"question": 5}, good | {"options": ["A. a", 1, "C. c", "D. d"]}, good | {"notes": 3}, good | {"options": good["options"][:3]}, good]
+    raw = spark.createDataFrame([(i, "A", json.dumps(a)) for i, a in enumerate(answers)], "slot long, letter string, raw string")
+    assert [r.slot for r in generate._items(raw, "exams", [], 0.7).collect()] == [4]
+
+
+def test_sentiment_label_with_any_blank_around(spark):
+    df = spark.createDataFrame([('{"text": "t", "sentiment": "\\u00a0Positive\\u3000"}', "t", "\u00a0Positive\u3000")], "value string, text string, sentiment string")
+    assert df.select(schema.valid_json("sentiment"), schema.valid("sentiment")).first()[:] == (True, True)
+
+
+def test_uniform_takes_the_first_in_order(spark):
+    df = spark.range(3000)
+    want = sorted(r.id for r in df.orderBy(sampling.order_key("id", 3), "id").limit(777).collect())
+    for edge, digits in ((100_000, 3), (5, 1)):
+        assert sorted(r.id for r in sampling.uniform(df, "id", 777, 3, edge, digits).collect()) == want
+    assert sampling.uniform(df, "id", 0).count() == 0 and sampling.uniform(df, "id", 3000).count() == 3000
+
+
 def test_session_log(spark, tmp_path):
     for n in (1, 2):
         generate.log_session(spark, str(tmp_path / "log"), "exams", "mock", n, {"max_seeds": 10}, 0.5, 1.0)
@@ -130,8 +150,15 @@ def test_fuzzy_keep_equals_the_sequential_rule(spark):
     texts += ["", "", "a"]
     df = spark.createDataFrame([(i, s, 1) for i, s in enumerate(texts)], "ix long, s string, more int")
     assert sorted(r.ix for r in similarity.fuzzy_keep(df, "ix", "s").collect()) == sequential(texts)
-    small = similarity.similar_pairs(spark.createDataFrame([(i, s) for i, s in enumerate(dict.fromkeys(texts))], "ix long, s string"), block=10)
-    assert small.count() > 0
+    distinct = list(dict.fromkeys(texts))
+    want = {(i, k) for k, b in enumerate(distinct) for i, a in enumerate(distinct[:k]) if 1 - lev(a, b) / (max(len(a), len(b)) or 1) >= 0.93}
+    assert want
+    rows = spark.createDataFrame(list(enumerate(distinct)), "ix long, s string")
+    for spare in (0.0, 0.5, 3.0):
+        assert {tuple(r) for r in similarity.similar_pairs(rows, spare=spare).collect()} == want
+    for most in (200_000, 3, 1):
+        dropped = [r.ix for r in similarity.first_kept(similarity.similar_pairs(rows), most).collect()]
+        assert sorted(dropped) == sorted(set(range(len(distinct))) - set(sequential(distinct)))
 
 
 def test_fuzzy_boundary_and_chain(spark):
@@ -142,6 +169,8 @@ def test_fuzzy_boundary_and_chain(spark):
     assert sorted(r.ix for r in similarity.fuzzy_keep(df, "ix", "s").collect()) == [0, 1, 2]
     chain = spark.createDataFrame([(1, 2), (2, 3)], "a long, b long")
     assert [r.ix for r in similarity.first_kept(chain).collect()] == [2]
+    with pytest.raises(RuntimeError):
+        similarity.first_kept(spark.createDataFrame([(i, i + 1) for i in range(9)], "a long, b long"), 1, 2)
     empty = spark.createDataFrame([], "ix long, s string")
     assert similarity.fuzzy_keep(empty, "ix", "s").count() == 0
 

@@ -50,6 +50,39 @@ def test_exam_csv_round_trip(spark, tmp_path):
         exam_csv.read(spark, "x.txt")
 
 
+def test_csv_export_keeps_order_of_keys_and_rows(spark, tmp_path):
+    rows = [{"z": " x ", "a": 1, "o": ["A. x", "it's"]}, {"a": None, "late": {"k": True}, "z": ""}, {"z": 'q "w", e', "a": True}]
+    jsonl.export(spark, put(tmp_path / "a.jsonl", rows), str(tmp_path / "c"), "csv", "exams")
+    lines = next((tmp_path / "c").glob("part-*")).read_text(encoding="utf-8").splitlines()
+    assert lines[0] == "z,a,o,late,_task" and lines[1].startswith(' x ,1,"[\'A. x\', ""it\'s""]"') and lines[2] == ",,,{'k': True},exams" and lines[3] == '"q ""w"", e",True,,,exams'
+
+
+def test_exam_csv_reads_none(spark, tmp_path):
+    df = spark.createDataFrame([("1", "q", "A", None, "it's None", None), ("2", "q", "B", 3, "a\\b", "ar")], "id string, qdict string, answer string, grade int, subject string, language string")
+    exam_csv.write(df, str(tmp_path / "n.csv"))
+    assert sorted(map(tuple, exam_csv.read(spark, str(tmp_path / "n.csv")).collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_augment_keeps_unknown_keys(spark, tmp_path):
+    p = put(tmp_path / "a.jsonl", [{"k": 1, "question": "q", "options": ["A. x", "B. y", "C. z", "D. w"], "answer": "A"}])
+    a, b = (json.loads(r.value) for r in cli.augmented_lines(spark, p, "exams", 2).orderBy("variant_no").collect())
+    assert a == {"k": 1, "question": "q", "options": ["A. x", "B. y", "C. z", "D. w"], "answer": "A"}
+    assert list(b) == list(a) and b["k"] == 1 and b["options"]["ABCD".index(b["answer"])].endswith("x")
+    p = put(tmp_path / "s.jsonl", [{"k": 1, "text": "t", "sentiment": "neutral"}])
+    rows = [json.loads(r.value) for r in cli.augmented_lines(spark, p, "sentiment", 1).orderBy("variant_no").collect()]
+    assert rows == [{"k": 1, "text": "t", "sentiment": "neutral"}, {"text": "t", "sentiment": "neutral"}]
+
+
+def test_env_file_and_answer_shares(tmp_path, monkeypatch):
+    monkeypatch.setenv("NASAQ_SET", "kept")
+    monkeypatch.delenv("NASAQ_NEW", raising=False)
+    (tmp_path / ".env").write_text("# x=1\nNASAQ_SET=lost\nexport NASAQ_NEW='v'\n", encoding="utf-8")
+    cli.load_env(str(tmp_path / ".env"))
+    cli.load_env(str(tmp_path / "none"))
+    assert (cli.os.environ["NASAQ_SET"], cli.os.environ["NASAQ_NEW"]) == ("kept", "v")
+    assert cli.shares_of("A=0.5, B=0.5") == {"A": 0.5, "B": 0.5} and cli.shares_of(None) is None
+
+
 def test_cli(spark, tmp_path, monkeypatch, capsys):
     monkeypatch.chdir(tmp_path)
     cli.main(["generate", "exams", "--num-samples", "4"])
