@@ -10,14 +10,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from nasaq.functions.skew import join_unique
 from nasaq.session import checkpointed
 
 
-def _star(links: DataFrame, large: bool) -> DataFrame:
-    """One star round over links (u, v) with u > v."""
+def _star(links: DataFrame, large: bool, most: int) -> DataFrame:
+    """One star round over links (u, v) with u > v. The centre of a giant component has most of all links, so the join is that of hot keys."""
     ends = links if not large else links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = ends.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    joined = ends.join(least, "u")
+    least = ends.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("degree")).select("u", F.least("u", "m").alias("m"), "degree")
+    joined = join_unique(ends, least, ["u"], "degree", most)
     if large:
         moved = joined.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
@@ -27,18 +28,19 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
     return moved.where("u > v").distinct()
 
 
-def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
+def components(links: DataFrame, most_rounds: int = 60, most: int = 1_000_000) -> DataFrame:
     """Rows (id, root) for each id that has a link; root is the least id of its component.
 
     ``links`` has two long columns a, b. Links of an id to itself and repeated
-    links are ignored; nulls are dropped. No links give no rows.
+    links are ignored; nulls are dropped. No links give no rows. ``most``: links of an
+    id above which they aren't shuffled to one task.
     """
     cur = checkpointed(
         links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     )
     seen = None
     for _ in range(most_rounds):
-        cur = checkpointed(_star(_star(cur, large=True), large=False))
+        cur = checkpointed(_star(_star(cur, True, most), False, most))
         now = cur.agg(
             F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.sum(F.col("v").cast("decimal(38,0)"))
         ).first()

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from nasaq.functions.components import components
+from nasaq.functions.skew import join_unique
 from nasaq.operators import augment, clean, generate, report, sampling, schema, seeds, similarity, tstr
 
 EXAM = "id long, question string, options array<string>, answer string, notes string"
@@ -257,4 +258,15 @@ def test_components(spark):
     used = {x for a, b in links if a != b for x in (a, b)}
     got = {r.id: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {x: find(x) for x in used}
+    df = spark.createDataFrame(links, "a long, b long")
+    assert {r.id: r.root for r in components(df, most=1).collect()} == got
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_join_with_hot_keys(spark):
+    rows = spark.createDataFrame([(k, i) for i, k in enumerate("aaaaaabbcd")] + [(None, 99)], "k string, i long")
+    unique = spark.createDataFrame([("a", 1, 6), ("b", 2, 2), ("c", 3, 1), ("e", 4, 1)], "k string, v long, n long")
+    want = sorted(map(tuple, rows.join(unique.drop("n"), "k").collect()))
+    for most, keys in ((100, 10), (1, 100), (0, 1000), (3, 100)):
+        assert sorted(map(tuple, join_unique(rows, unique, ["k"], "n", most, keys).collect())) == want
+    assert join_unique(rows, unique.limit(0), ["k"], "n").count() == 0
