@@ -12,9 +12,10 @@ from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from nasaq.functions.skew import join_unique
 from nasaq.llm.labels import OPTION_LABEL
 from nasaq.llm.lookalikes import all_as_they_look
 from nasaq.session import stored
@@ -48,55 +49,65 @@ def _canonical(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _full() -> list[Column]:
+    """The 128-bit key of a canonical text."""
+    return [F.xxhash64("task", "canonical").alias("c1"), F.xxhash64(F.lit(1), "canonical", "task").alias("c2")]
+
+
 class FormattingCopies:
     """Sets of records of (task string, item_id long, parts array<string>).
 
     ``parts`` holds the ordered text first and then texts whose order doesn't matter.
     A row with null parts, a null or empty part, or no letter or digit in some part
-    is no record here. An item that arrives again counts once. No rows give no sets.
+    is no record here. An item that arrives again with the same content counts once. No
+    rows give no sets. ``hot``: rows of a key above which they aren't shuffled to one
+    task (see ``join_unique``).
     """
 
-    def __init__(self, rows: DataFrame):
+    def __init__(self, rows: DataFrame, hot: int = 1_000_000):
+        self.hot = hot
         rows = rows.select("task", "item_id", "parts").where(
             "item_id IS NOT NULL AND size(parts) > 0 AND NOT exists(parts, x -> x IS NULL OR x = '')"
         )
         key = [F.xxhash64("task", "parts").alias("k1"), F.xxhash64(F.lit(1), "parts", "task").alias("k2")]
-        #: One row for each record: its 128-bit raw key.
-        self.light = rows.select("task", "item_id", *key).distinct()
-        raw = rows.groupBy("task", "parts").agg(
-            F.min("item_id").alias("least"), (F.min("item_id") != F.max("item_id")).alias("several")
-        )
-        survivors = raw.select("task", "least", "several", *key, "parts").mapInArrow(
-            _canonical, "task string, least long, several boolean, k1 long, k2 long, canonical string"
+        #: Each record with its 128-bit raw key and the number of its arrivals.
+        self.light = rows.select("task", "item_id", *key).groupBy("task", "item_id", "k1", "k2").agg(F.count(F.lit(1)).alias("arrivals"))
+        raw = rows.groupBy("task", "parts").agg(F.min("item_id").alias("least"), F.count(F.lit(1)).alias("n"))
+        survivors = raw.select("task", "least", "n", *key, "parts").mapInArrow(
+            _canonical, "task string, least long, n long, k1 long, k2 long, canonical string"
         )
-        #: One row for each distinct raw record: its raw key and its canonical text, made once.
+        #: One row for each distinct raw record: its count of rows, its raw key and its canonical text, made once.
         self.survivors = stored(survivors.where("canonical IS NOT NULL"), "canonical")
 
-    def keys(self, only_sets_of_several: bool = False) -> DataFrame:
-        """Rows (k1, k2, keep_id): the smallest id of the set of each distinct raw record."""
-        full = [F.xxhash64("task", "canonical").alias("c1"), F.xxhash64(F.lit(1), "canonical", "task").alias("c2")]
+    def _sets(self) -> DataFrame:
+        """Rows (c1, c2, task, keep_id, rows, raw): each set with its rows, counted over its raw records, and their number."""
         sets = self.survivors.groupBy("task", "canonical").agg(
-            F.min("least").alias("keep_id"), ((F.count(F.lit(1)) > 1) | F.bool_or("several")).alias("several")
+            F.min("least").alias("keep_id"), F.sum("n").alias("rows"), F.count(F.lit(1)).alias("raw")
+        )
+        return sets.select(*_full(), "task", "keep_id", "rows", "raw")
+
+    def _keys(self, sets: DataFrame) -> DataFrame:
+        """Rows (k1, k2, keep_id, n): the smallest id of the set of each distinct raw record, and the rows of that record."""
+        return join_unique(self.survivors.select("k1", "k2", "n", *_full()), sets.select("c1", "c2", "keep_id", "raw"), ["c1", "c2"], "raw", self.hot).select(
+            "k1", "k2", "keep_id", "n"
         )
-        if only_sets_of_several:
-            sets = sets.where("several")
-        ids = self.survivors.select("k1", "k2", *full)
-        return ids.join(sets.select("keep_id", *full), ["c1", "c2"]).select("k1", "k2", "keep_id")
 
     def members(self) -> DataFrame:
         """Rows (task, item_id, keep_id): each record with the smallest id of its set."""
-        return self.light.join(self.keys(), ["k1", "k2"]).select("task", "item_id", "keep_id")
+        return join_unique(self.light, self._keys(self._sets()), ["k1", "k2"], "n", self.hot).select("task", "item_id", "keep_id")
 
     def copies(self) -> DataFrame:
         """Rows (task, keep_id, copy_id): each record that is not the smallest id of its set."""
-        found = self.light.join(self.keys(only_sets_of_several=True), ["k1", "k2"]).where("item_id <> keep_id")
+        keys = self._keys(self._sets().where("rows > 1"))
+        found = join_unique(self.light, keys, ["k1", "k2"], "n", self.hot).where("item_id <> keep_id")
         return found.select("task", "keep_id", F.col("item_id").alias("copy_id")).distinct()
 
     def collapsed(self) -> DataFrame:
-        """Rows (task, keep_id, n_copies): one row for each set, with its number of records."""
-        counts = self.light.groupBy("k1", "k2", "task").agg(F.count(F.lit(1)).alias("n"))
-        return (
-            counts.join(self.keys(), ["k1", "k2"])
-            .groupBy("task", "keep_id")
-            .agg(F.sum("n").alias("n_copies"))
+        """Rows (task, keep_id, n_copies): one row for each set, with its number of records: the counts of its raw
+        records summed up, less the further arrivals of the same items, which are few."""
+        sets = self._sets()
+        again = self.light.where("arrivals > 1")
+        again = join_unique(again, self._keys(sets), ["k1", "k2"], "n", self.hot).groupBy("task", "keep_id").agg(F.sum(F.col("arrivals") - 1).alias("again"))
+        return sets.join(again, ["task", "keep_id"], "left").select(
+            "task", "keep_id", (F.col("rows") - F.coalesce("again", F.lit(0))).alias("n_copies")
         )

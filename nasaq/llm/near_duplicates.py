@@ -7,7 +7,17 @@ n - ceil(2t/(1+t) n) deletions (half of the radius when sizes are equal), the la
 by at most n - ceil(t n). Every text emits all its variants within its part of the
 radius. A variant is known by its leading words alone, so the variants that agree
 in them are emitted as one key: one leading word if few texts have that word, more
-of them while the expected bucket exceeds ``bucket`` texts. Keys are shuffled,
+of them while the expected bucket exceeds ``bucket`` texts.
+
+Why this is the same join: let V(A) be the variants of A within its part, and p a map
+that cuts a variant to its leading words, the same for both sides. A and B share a
+variant, their intersection I; so both emit p(I), and they collide. Two sets that
+collide in p but share no variant are false candidates, which the tests below and
+verification remove. So the pairs found are those of the full balls exactly; what
+p saves is the size of the ball. At t = 0.7 a set of n words has up to
+C(n, n - ceil(0.7 n)) variants of the largest deletion alone (38,760 for 20 words)
+and emits at most 7 keys of one rare word, and some more where its first words are
+frequent. Keys are shuffled,
 colliding pairs are filtered by length, position and a 64-bit parity sketch (each
 word flips one bit, so the sketches differ in at most as many bits as the sets in
 words: no link is lost), made distinct, and verified on the full word sets.
@@ -38,6 +48,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nasaq.functions.components import components
+from nasaq.functions.skew import join_unique
 from nasaq.llm.lookalikes import all_as_they_look
 from nasaq.session import checkpointed, release, stored
 
@@ -56,7 +67,8 @@ class Settings:
     a bucket above which it is linked through its least member first, or compared
     in blocks of about so many rows. words: most
     words whose frequency is broadcast (others count as rare, which costs time but
-    no link). tail: most keys of frequent words that prune the other side."""
+    no link). tail: most keys of frequent words that prune the other side. hot_rows:
+    rows of a set or a group above which they aren't shuffled to one task."""
 
     similarity: float = 0.7
     bucket: int = 128
@@ -64,6 +76,7 @@ class Settings:
     hot: int = 512
     words: int = 100_000
     tail: int = 400_000
+    hot_rows: int = 1_000_000
 
 
 def words_of(text: str) -> list[str]:
@@ -284,31 +297,32 @@ class NearDuplicates:
         return self._grouped(every=False)
 
     def _grouped(self, every: bool) -> DataFrame:
+        s = self.s
         members = stored(
             self.all.select("task", "id", "words", F.xxhash64("words", "task").alias("h1"), F.xxhash64(F.lit(1), "task", "words").alias("h2")),
             "word-sets",
         )
         # One row for each distinct word set. A set's own id, unlike an item id, is unique over tasks.
-        sets = members.groupBy("task", "words").agg(F.min("id").alias("least")).select(
-            F.xxhash64("words", "task").alias("id"), "task", "words", "least"
+        sets = members.groupBy("task", "words").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("copies")).select(
+            F.xxhash64("words", "task").alias("id"), "task", "words", "least", "copies"
         )
         sets = stored(sets, "distinct-sets")
         links = self._links(sets, every)
         roots = components(links.select("a", "b"))
         # The group of a set is named by the least item id in its component.
-        by_set = sets.select("id", "task", "least").join(roots, "id", "left").select(
-            "id", "task", "least", F.coalesce("root", "id").alias("root")
+        by_set = sets.select("id", "task", "least", "copies").join(roots, "id", "left").select(
+            "id", "task", "least", "copies", F.coalesce("root", "id").alias("root")
         )
         names = by_set.groupBy("root").agg(F.min("least").alias("group_id"), F.count(F.lit(1)).alias("sets"))
-        named = by_set.join(names, "root")
+        named = join_unique(by_set, names, ["root"], "sets", s.hot_rows)
         items = members.select("task", F.col("id").alias("item"), F.col("h1").alias("id"))
         if not every:
-            return items.join(named.select("id", "group_id"), "id").select("task", F.col("item").alias("id"), "group_id")
+            named = named.select("id", "group_id", "copies")
+            return join_unique(items, named, ["id"], "copies", s.hot_rows).select("task", F.col("item").alias("id"), "group_id")
         degree = links.selectExpr("a AS id").unionByName(links.selectExpr("b AS id")).groupBy("id").agg(F.count(F.lit(1)).alias("links"))
         named = named.join(degree, "id", "left")
-        return items.join(
-            named.select("id", "group_id", F.coalesce("links", F.lit(0)).alias("links")), "id"
-        ).select("task", F.col("item").alias("id"), "group_id", "links")
+        named = named.select("id", "group_id", "copies", F.coalesce("links", F.lit(0)).alias("links"))
+        return join_unique(items, named, ["id"], "copies", s.hot_rows).select("task", F.col("item").alias("id"), "group_id", "links")
 
     def _links(self, sets: DataFrame, every: bool) -> DataFrame:
         """Rows (a, b) of similar sets: with ``every`` all of them, else enough to connect each group."""
@@ -384,9 +398,18 @@ class NearDuplicates:
         main = rooted.groupBy("key", "root").agg(F.count(F.lit(1)).alias("size")).groupBy("key").agg(
             F.max_by("root", "size").alias("main"), F.count(F.lit(1)).alias("parts")
         ).where("parts > 1")
+        # In cells of a block of the bucket and a block of what is outside its main component, so no task has a whole bucket.
         rest = rooted.join(main, "key").where("root <> main").select(*rooted.columns)
-        differ = "a.root <> b.root"
-        return self._colliding(rooted, rest, differ).unionByName(self._colliding(rest, rooted, differ))
+        counts = rooted.groupBy("key").agg(F.count(F.lit(1)).alias("n_all")).join(rest.groupBy("key").agg(F.count(F.lit(1)).alias("n_rest")), "key")
+        blocks = counts.select("key", F.ceil(F.col("n_all") / self.s.hot).alias("of_all"), F.ceil(F.col("n_rest") / self.s.hot).alias("of_rest"))
+
+        def cells(side: DataFrame, own: str, other: str, own_blocks: str, other_blocks: str) -> DataFrame:
+            placed = side.join(blocks, "key").withColumn(own, F.pmod(F.xxhash64("id"), F.col(own_blocks)))
+            return placed.withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), F.col(other_blocks) - 1))).select(*rooted.columns, "x", "y")
+
+        every, outside = cells(rooted, "x", "y", "of_all", "of_rest"), cells(rest, "y", "x", "of_rest", "of_all")
+        differ, on = "a.root <> b.root", ["key", "x", "y"]
+        return self._colliding(every, outside, differ, on).unionByName(self._colliding(outside, every, differ, on))
 
     def _verified(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
         """Distinct pairs whose full word sets are similar."""

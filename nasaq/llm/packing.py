@@ -2,13 +2,14 @@
 
 Hierarchical residual packing: groups of bounded size pack best-fit decreasing, each
 in its own task. Nearly full containers are done; the others go on as items, in
-fewer and fewer groups, until one group is left or nothing is gained. A document
+fewer and new groups, until one group is left or nothing is gained. A document
 is split only if it exceeds the capacity by itself: its full pieces fill containers
 alone, its remainder is an item.
 """
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -45,31 +46,29 @@ def best_fit(sizes: list[int], capacity: int) -> list[int]:
 
 def _pack_group(pdf: pd.DataFrame) -> pd.DataFrame:
     pdf = pdf.sort_values("item", kind="stable")
-    capacity = int(pdf["capacity"].iloc[0])
-    at = best_fit([int(x) for x in pdf["size"]], capacity)
-    head = f"{pdf['level'].iloc[0]}.{pdf['grp'].iloc[0]}."
-    out = pd.DataFrame({"pack_id": pdf["pack_id"].to_numpy(), "item": pdf["item"].to_numpy(), "size": pdf["size"].to_numpy(), "capacity": capacity})
-    out["bin"] = [f"{head}{c}" for c in at]
+    at = best_fit([int(x) for x in pdf["size"]], int(pdf["capacity"].iloc[0]))
+    out = pdf[["pack_id", "item", "size", "capacity"]].reset_index(drop=True)
+    out["bin"] = np.array(at, np.int64) + (int(pdf["level"].iloc[0]) << 56) + (int(pdf["grp"].iloc[0]) << 24)
     out["fill"] = out.groupby("bin")["size"].transform("sum")
     return out
 
 
 def _level(items: DataFrame, level: int, groups: int) -> DataFrame:
-    """Packs items (pack_id, capacity, item, size) in ``groups`` groups each; one row for each item."""
-    grouped = items.withColumn("grp", F.pmod(F.xxhash64("pack_id", "item"), F.lit(groups))).withColumn("level", F.lit(level))
-    return grouped.groupBy("pack_id", "grp").applyInPandas(
-        _pack_group, "pack_id string, item string, size long, capacity long, bin string, fill long"
-    )
+    """Packs items (pack_id, capacity, item, size) in ``groups`` groups each; one row for each item. A bin's number holds its level, group and place."""
+    grouped = items.withColumn("grp", F.pmod(F.xxhash64("pack_id", "item", F.lit(level)), F.lit(groups))).withColumn("level", F.lit(level))
+    return grouped.groupBy("pack_id", "grp").applyInPandas(_pack_group, "pack_id string, item long, size long, capacity long, bin long, fill long")
 
 
-def pack(sizes: DataFrame, packs: DataFrame, full: float = 0.995, group: int = 20_000, merge: int = 8) -> DataFrame:
+def pack(sizes: DataFrame, packs: DataFrame, full: float = 0.995, group: int = 20_000, least_gain: float = 0.01) -> DataFrame:
     """Rows (pack_id, container, doc_id, piece, start, tokens): every document in a container of each pack.
 
     ``sizes`` has doc_id and tokens, ``packs`` pack_id and capacity_tokens (few rows;
     null or not positive capacities are left out). Documents of no tokens are in no
-    container. ``start`` is the first token of the piece. A container that is filled
-    to ``full`` is done. ``group``: expected items of a group; ``merge``: groups that
-    become one at each level.
+    container. ``start`` is the first token of the piece; container is a number. A
+    container that is filled to ``full`` is done. ``group``: expected items of a group.
+    Levels end when one group held all open containers, or when a level with new
+    groups saved less than ``least_gain`` of the open containers: groups of
+    thousands have the sizes of the whole, so more levels would not save more.
     """
     wanted = packs.where("capacity_tokens > 0 AND pack_id IS NOT NULL").groupBy("pack_id").agg(F.max("capacity_tokens").alias("capacity"))
     each = [F.struct(F.lit(r.pack_id).alias("pack_id"), F.lit(int(r.capacity)).cast("long").alias("capacity")) for r in wanted.collect()]
@@ -81,37 +80,40 @@ def pack(sizes: DataFrame, packs: DataFrame, full: float = 0.995, group: int = 2
         .withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("tokens") - 1) / F.col("capacity")))))
         .withColumn("start", F.col("piece") * F.col("capacity"))
         .withColumn("size", F.least("capacity", F.col("tokens") - F.col("start")))
-        .select("pack_id", "capacity", "doc_id", "piece", "start", "size", F.concat_ws(":", "doc_id", "piece").alias("item"))
+        .select("pack_id", "capacity", "doc_id", "piece", "start", "size", F.monotonically_increasing_id().alias("item"))
     )
     pieces = checkpointed(pieces)
     alone = F.col("size") == F.col("capacity")
     items = pieces.where(~alone).select("pack_id", "capacity", "item", "size")
     most = items.groupBy("pack_id").count().agg(F.max("count")).first()[0] or 0
     groups = max(1, -(-most // group))
-    level, placed, left_before = 0, None, None
+    level, placed = 0, None
     while True:
         step = checkpointed(_level(items, level, groups))
         moved = step.select("pack_id", "item", "bin")
-        # The container of an item is the container that its container went into.
-        placed = moved if placed is None else checkpointed(
-            placed.alias("p").join(moved.alias("m"), (F.col("p.pack_id") == F.col("m.pack_id")) & (F.col("p.bin") == F.col("m.item")), "left").select(
-                "p.pack_id", "p.item", F.coalesce("m.bin", "p.bin").alias("bin")
-            )
-        )
+        if placed is None:
+            placed = moved
+        else:  # the container of an item is the container that its container went into; numbers alone move, and no side is broadcast
+            bins = moved.select(F.col("item").alias("bin"), "pack_id", F.col("bin").alias("into")).hint("merge")
+            placed = checkpointed(placed.join(bins, ["pack_id", "bin"], "left").select("pack_id", "item", F.coalesce("into", "bin").alias("bin")))
+        if groups == 1:
+            break
         open_bins = step.where(F.col("fill") < F.lit(full) * F.col("capacity")).groupBy("pack_id", F.col("bin").alias("item")).agg(
             F.max("capacity").alias("capacity"), F.max("fill").alias("size")
         )
         items = checkpointed(open_bins.select("pack_id", "capacity", "item", "size"))
         left = items.groupBy("pack_id").count().agg(F.max("count")).first()[0] or 0
-        if groups == 1 or left == 0 or (left_before is not None and left > 0.98 * left_before and left > group):
+        if not left:
             break
-        left_before, level = left, level + 1
-        groups = max(1, -(-groups // merge), -(-left // group))
-    joined = pieces.where(~alone).join(placed.withColumnRenamed("bin", "container"), ["pack_id", "item"])
+        groups = -(-left // group)
+        if level and groups > 1:
+            before, after = step.count(), step.select("pack_id", "bin").distinct().count()
+            if before - after < least_gain * before:
+                break
+        level += 1
+    joined = pieces.where(~alone).join(placed.withColumnRenamed("bin", "container").hint("merge"), ["pack_id", "item"])
     columns = ["pack_id", "container", "doc_id", "piece", "start", F.col("size").alias("tokens")]
-    return joined.select(*columns).unionByName(
-        pieces.where(alone).withColumn("container", F.concat(F.lit("full."), "item")).select(*columns)
-    )
+    return joined.select(*columns).unionByName(pieces.where(alone).withColumn("container", -1 - F.col("item")).select(*columns))
 
 
 def usage(packed: DataFrame, packs: DataFrame) -> DataFrame:

@@ -122,7 +122,7 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
-    return abuse.flagged(table(spark, d, "documents")).select("doc_id")
+    return abuse.flagged(table(spark, d, "documents"), table(spark, d, "doc_labels")).select("doc_id")
 
 
 def p9_scores(spark: SparkSession, d: str) -> DataFrame:
@@ -130,7 +130,7 @@ def p9_scores(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p9_rates(spark: SparkSession, d: str) -> DataFrame:
-    return abuse.rates(table(spark, d, "documents"))
+    return abuse.rates(table(spark, d, "documents"), table(spark, d, "doc_labels"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

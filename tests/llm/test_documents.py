@@ -94,6 +94,10 @@ def test_cleaning_by_length_and_by_coverage(spark):
     assert contamination.without_leaks(marked, item).first().removed_words == 10
 
 
+def passage_score(text):
+    return 100 * abuse.judge(abuse.fold(text))[0] / abuse.PASSAGE
+
+
 @pytest.mark.parametrize(
     "text",
     ["you idiot", "SHUT UP, YOU CLOWN", "your mother raised a useless tra*h", "go rot in a ditch, you m0r0n", "shut up you p i g", "أنت حقير", "يا ح م ا ر", "يا حقققير", "يا ح-م-ا-ر", "يا غـبي", "ودمهم ف ا س د لصوص وخونة",
@@ -102,7 +106,7 @@ def test_cleaning_by_length_and_by_coverage(spark):
 def test_abusive(text):
     from nasaq.llm.lookalikes import as_it_looks
 
-    assert sum(w for _, w, _ in abuse.judge(abuse.fold(as_it_looks(text))).values()) >= 1.0
+    assert passage_score(as_it_looks(text)) >= abuse.LEAST_SCORE - 1e-9
 
 
 @pytest.mark.parametrize(
@@ -110,14 +114,37 @@ def test_abusive(text):
     ["", "the clown in the play makes children laugh", "take out the trash", "doctor advises early breast cancer screening", "sexual reproduction in plants", "this phone is useless and the service was awful", "الكلب حيوان وفي", "سرطان الثدي", "درس عن خطر الشتم والسخرية", "a nude marble statue", "Zofa hated war"],
 )
 def test_harmless(text):
-    assert not abuse.judge(abuse.fold(text))
+    assert passage_score(text) < abuse.LEAST_SCORE
+
+
+#: Wordings that no test table has.
+HELD_OUT_ABUSE = ["you are a pathetic liar and everyone knows it", "I will break your face if you come back", "what a disgusting creep you are", "those people are cockroaches", "they should all be exterminated, every one of them", "send me your naked body tonight",
+    "f**king id**t, you", "you filthy sn4ke", "أنت أغبى حشرة رأيتها، يا لئيم", "سأحطم عظامك أيها الجبان", "هؤلاء القوم جرذان", "يجب إبادتهم جميعا", "أرسلي لي صورك عارية", "tu es un vrai connard", "du bist ein dummkopf", "يا بغل اسكت"]
+HELD_OUT_HARMLESS = ["the clown made every child at the circus laugh", "the director told the actor to shout at the idiot in the second act", "dictionary: 'moron' is a word that means a person who is not clever", "the dog chased the cat around the garden", "my old laptop is trash, do not buy it",
+    "sex of the chick is decided by its chromosomes", "the soldiers killed the time with cards", "the painter's nude hangs in the museum", "rats carry the disease into the harbour", "the strike paralysed the country", "نام الكلب تحت الشجرة", "كلمة غبي في القاموس تعني قليل الفهم", "الجرذان تنقل الطاعون إلى المزارع", "رسم الفنان جسما عاريا من الرخام", "قتل الفارس التنين في الرواية", "هذا الهاتف فاشل وبطاريته سيئة"]
+
+
+def test_held_out_wordings():
+    found = [t for t in HELD_OUT_ABUSE if passage_score(t) >= abuse.LEAST_SCORE - 1e-9]
+    wrong = [t for t in HELD_OUT_HARMLESS if passage_score(t) >= abuse.LEAST_SCORE - 1e-9]
+    print(sorted(set(HELD_OUT_ABUSE) - set(found)), wrong)
+    assert len(found) >= 0.7 * len(HELD_OUT_ABUSE) and len(wrong) <= 0.15 * len(HELD_OUT_HARMLESS)
+
+
+def test_threshold_is_fitted_on_labels(spark):
+    docs = spark.createDataFrame([(i, "you idiot" if i % 3 == 0 else "a fine day", "a", 0) for i in range(90)], DOCS)
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(90)] + [(1, None), (None, 1)], "doc_id long, toxic int")
+    assert abuse.fitted_threshold(docs, labels) == abuse.LEAST_SCORE and abuse.fitted_threshold(docs, labels.limit(0)) == abuse.LEAST_SCORE
+    assert abuse.best_threshold([(3.0, True)] * 30 + [(2.0, False)] * 30) == 3.0
+    assert sorted(r.doc_id for r in abuse.flagged(docs, labels).collect()) == list(range(0, 90, 3))
 
 
 def test_scores_and_rates(spark):
-    long = "word " * 40_000 + "you idiot"
+    long = "plain " * 40_000 + "you idiot"
     df = spark.createDataFrame([(1, "you idiot", "a", 0), (1, "you idiot", "a", 0), (2, None, "a", 0), (3, "", None, 0), (4, long, "b", 0)], DOCS)
     rows = {r.doc_id: r for r in abuse.scores(df).collect()}
-    assert rows[1].score > rows[4].score > 0 == rows[2].score == rows[3].score
+    # The worst passage counts, however long the document is.
+    assert rows[1].score == rows[4].score > 0 == rows[2].score == rows[3].score
     assert sorted(r.doc_id for r in abuse.flagged(df).collect()) == [1, 1, 4]
     assert {r.source: (r.docs, r.flagged) for r in abuse.rates(df).collect()} == {"a": (3, 2), None: (1, 0), "b": (1, 1)}
     assert abuse.scores(df.limit(0)).count() == 0

@@ -81,6 +81,11 @@ def test_formatting_copies(spark):
     assert sorted(map(tuple, op.copies().collect())) == [("exams", 3, 5), ("sentiment", 4, 9), ("sentiment", 5, 6)]
     counts = {(r.task, r.keep_id): r.n_copies for r in op.collapsed().collect()}
     assert counts == {("exams", 3): 2, ("exams", 7): 1, ("sentiment", 5): 2, ("sentiment", 4): 2}
+    # The same with every key of more than one row as a hot one.
+    hot = FormattingCopies(spark.createDataFrame(rows, ROWS), hot=1)
+    assert sorted(map(tuple, hot.copies().collect())) == sorted(map(tuple, op.copies().collect()))
+    assert sorted(map(tuple, hot.members().collect())) == sorted(map(tuple, op.members().collect()))
+    assert {(r.task, r.keep_id): r.n_copies for r in hot.collapsed().collect()} == counts
     empty = FormattingCopies(spark.createDataFrame([], ROWS))
     assert empty.copies().count() == 0 and empty.collapsed().count() == 0
 
@@ -121,7 +126,7 @@ def edited(rng, count, vocabulary, most=4):
 
 @pytest.mark.parametrize(
     "settings",
-    [Settings(), Settings(bucket=3, depth=3), Settings(bucket=2, depth=2, hot=4), Settings(bucket=2, depth=2, tail=3, hot=5), Settings(bucket=2, words=5, hot=6)],
+    [Settings(), Settings(hot_rows=2), Settings(bucket=3, depth=3), Settings(bucket=2, depth=2, hot=4), Settings(bucket=2, depth=2, tail=3, hot=5), Settings(bucket=2, words=5, hot=6)],
 )
 def test_near_duplicates_equal_brute_force(spark, settings):
     rng = random.Random(settings.bucket)
@@ -153,7 +158,7 @@ def test_links_of_a_hot_family_are_exact(spark):
     degree = {a: sum(similar(a, b) for b in sets) for a in sets}
     want = {(task, i): degree[task, frozenset(words_of(t))] for task, i, t in rows}
     groups = brute_groups(rows, 0.7)
-    for hot in (512, 16, 5):
+    for hot in (512, 5):
         op = NearDuplicates(df, Settings(bucket=4, hot=hot))
         got = {(r.task, r.id): (r.links, r.group_id) for r in op.run().collect()}
         assert got == {k: (want[k], groups[k]) for k in want}
