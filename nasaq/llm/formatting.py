@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from nasaq.functions.skew import join_unique
 from nasaq.llm.labels import OPTION_LABEL
 from nasaq.llm.lookalikes import all_as_they_look
-from nasaq.session import stored
+from nasaq.session import checkpointed, stored
 
 LABEL = regex.compile(OPTION_LABEL)
 NOISE = regex.compile(r"[\p{P}\s]+")
@@ -78,34 +78,32 @@ class FormattingCopies:
         )
         #: One row for each distinct raw record: its count of rows, its raw key and its canonical text, made once.
         self.survivors = stored(survivors.where("canonical IS NOT NULL"), "canonical")
-
-    def _sets(self) -> DataFrame:
-        """Rows (c1, c2, task, keep_id, rows, raw): each set with its rows, counted over its raw records, and their number."""
         sets = self.survivors.groupBy("task", "canonical").agg(
             F.min("least").alias("keep_id"), F.sum("n").alias("rows"), F.count(F.lit(1)).alias("raw")
         )
-        return sets.select(*_full(), "task", "keep_id", "rows", "raw")
+        #: One row for each set: its key, smallest id, rows, counted over its raw records, and their number. The last step that moves texts, done once.
+        self.sets = stored(sets.select(*_full(), "task", "keep_id", "rows", "raw"), "sets")
 
     def _keys(self, sets: DataFrame) -> DataFrame:
         """Rows (k1, k2, keep_id, n): the smallest id of the set of each distinct raw record, and the rows of that record."""
-        return join_unique(self.survivors.select("k1", "k2", "n", *_full()), sets.select("c1", "c2", "keep_id", "raw"), ["c1", "c2"], "raw", self.hot).select(
-            "k1", "k2", "keep_id", "n"
-        )
+        raw = self.survivors.select("k1", "k2", "n", *_full())
+        keys = join_unique(raw, sets.select("c1", "c2", "keep_id", "raw"), ["c1", "c2"], "raw", self.hot)
+        return checkpointed(keys.select("k1", "k2", "keep_id", "n"))
 
     def members(self) -> DataFrame:
         """Rows (task, item_id, keep_id): each record with the smallest id of its set."""
-        return join_unique(self.light, self._keys(self._sets()), ["k1", "k2"], "n", self.hot).select("task", "item_id", "keep_id")
+        return join_unique(self.light, self._keys(self.sets), ["k1", "k2"], "n", self.hot).select("task", "item_id", "keep_id")
 
     def copies(self) -> DataFrame:
         """Rows (task, keep_id, copy_id): each record that is not the smallest id of its set."""
-        keys = self._keys(self._sets().where("rows > 1"))
+        keys = self._keys(self.sets.where("rows > 1"))
         found = join_unique(self.light, keys, ["k1", "k2"], "n", self.hot).where("item_id <> keep_id")
         return found.select("task", "keep_id", F.col("item_id").alias("copy_id")).distinct()
 
     def collapsed(self) -> DataFrame:
         """Rows (task, keep_id, n_copies): one row for each set, with its number of records: the counts of its raw
         records summed up, less the further arrivals of the same items, which are few."""
-        sets = self._sets()
+        sets = self.sets
         again = self.light.where("arrivals > 1")
         again = join_unique(again, self._keys(sets), ["k1", "k2"], "n", self.hot).groupBy("task", "keep_id").agg(F.sum(F.col("arrivals") - 1).alias("again"))
         return sets.join(again, ["task", "keep_id"], "left").select(
