@@ -311,17 +311,18 @@ class NearDuplicates:
         roots = components(links.select("a", "b"))
         # The group of a set is named by the least item id in its component.
         by_set = sets.select("id", "task", "least", "copies").join(roots, "id", "left").select(
-            "id", "task", "least", "copies", F.coalesce("root", "id").alias("root")
+            "id", "least", "copies", F.coalesce("root", "id").alias("root")
         )
+        by_set = checkpointed(by_set)
         names = by_set.groupBy("root").agg(F.min("least").alias("group_id"), F.count(F.lit(1)).alias("sets"))
         named = join_unique(by_set, names, ["root"], "sets", s.hot_rows)
         items = members.select("task", F.col("id").alias("item"), F.col("h1").alias("id"))
         if not every:
-            named = named.select("id", "group_id", "copies")
+            named = checkpointed(named.select("id", "group_id", "copies"))
             return join_unique(items, named, ["id"], "copies", s.hot_rows).select("task", F.col("item").alias("id"), "group_id")
         degree = links.selectExpr("a AS id").unionByName(links.selectExpr("b AS id")).groupBy("id").agg(F.count(F.lit(1)).alias("links"))
         named = named.join(degree, "id", "left")
-        named = named.select("id", "group_id", "copies", F.coalesce("links", F.lit(0)).alias("links"))
+        named = checkpointed(named.select("id", "group_id", "copies", F.coalesce("links", F.lit(0)).alias("links")))
         return join_unique(items, named, ["id"], "copies", s.hot_rows).select("task", F.col("item").alias("id"), "group_id", "links")
 
     def _links(self, sets: DataFrame, every: bool) -> DataFrame:
