@@ -18,8 +18,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from nasaq.functions.skew import join_unique
 from nasaq.llm.formatting import bare
 from nasaq.llm.lookalikes import all_as_they_look
+from nasaq.session import checkpointed
 
 #: What stands in place of content, without punctuation and in lower case.
 FILLERS = {"na", "null", "none", "nil", "nan", "tbd", "todo", "tba", "لايوجد", "لاشيء", "غيرمتوفر", "غيرمتاح", "فارغ", "empty", "blank", "xxx", "undefined", "ninguno", "aucun", "keine"}
@@ -41,12 +43,12 @@ QUOTED = regex.compile("«[^»]*»|\"[^\"]*\"|“[^”]*”|\\([^)]*\\)")
 LETTERS = regex.compile(r"[^\p{L}\p{M}]+")
 TOKEN = regex.compile(r"[\p{L}\p{M}\p{N}]+")
 
-#: Words that no sentence ends with.
-HANGING = set("""
+#: Conjunctions, prepositions, articles and relative pronouns, which by their grammar ask for another word.
+OPENING = """
 من إلى في على عن مع و أو ثم أن إن لأن حتى التي الذي الذين كي لكي بسبب إذا عند بين ضمن خلال حول
 the a an of to in with and or because that which for at by from as than into while when where if but so our their its
 le la les un une des de du et ou à avec pour dans que qui el los las una y o con para en por der die das ein eine und oder mit für von zu im am weil dass
-""".split())
+""".split()
 
 LANGUAGES = ("ar", "en", "fr", "es", "de")
 
@@ -54,9 +56,9 @@ LANGUAGES = ("ar", "en", "fr", "es", "de")
 class LanguageModel:
     """Naive Bayes over character trigrams, add-one smoothed, equal priors."""
 
-    def __init__(self, texts: dict[str, list[str]], kept: int = 20_000):
+    def __init__(self, texts: dict[str, list[str]]):
         counts = {k: Counter(g for t in ts for g in self.grams(t)) for k, ts in texts.items() if ts}
-        vocabulary = {g for c in counts.values() for g, _ in c.most_common(kept)}
+        vocabulary = {g for c in counts.values() for g in c}
         self.languages = sorted(counts)
         self.logs = {}
         self.unseen = []
@@ -110,8 +112,9 @@ def tokens(text: str) -> list[str]:
 
 
 def _count_ends(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total: Counter[tuple[str, str]] = Counter()
-    ends: Counter[tuple[str, str]] = Counter()
+    """Counts (a, b, n, e) of the two-word sequences (a, b) and, with a null, of the words b: how often, and how often at an end."""
+    total: Counter[tuple[str | None, str]] = Counter()
+    ends: Counter[tuple[str | None, str]] = Counter()
 
     def flush() -> pa.RecordBatch:
         grams = list(total)
@@ -128,58 +131,40 @@ def _count_ends(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 words = tokens(text)
                 if words:
                     total.update(zip(["", *words], words, strict=False))
+                    total.update((None, w) for w in words)
                     ends[(words[-2] if len(words) > 1 else "", words[-1])] += 1
+                    ends[None, words[-1]] += 1
         if len(total) > 300_000:
             yield flush()
     yield flush()
 
 
-class EndModel:
-    """How likely a text ends after its last words."""
-
-    def __init__(self, grams: list[tuple[str, str, int, int]], seen: int):
-        self.seen = seen
-        self.two: dict[tuple[str, str], tuple[int, int]] = {}
-        self.one: dict[str, list[int]] = {}
-        self.after: dict[str, list[str]] = {}
-        for a, b, n, e in grams:
-            self.two[a, b] = (n, e)
-            one = self.one.setdefault(b, [0, 0])
-            one[0] += n
-            one[1] += e
-            self.after.setdefault(a, []).append(b)
-
-    def likelihood(self, words: list[str]) -> float | None:
-        """P(end | last words), backing off from two words to one; None if they are too rare to tell."""
-        a, b = (words[-2] if len(words) > 1 else ""), words[-1]
-        n, e = self.two.get((a, b), (0, 0))
-        if n > self.seen:
-            return e / n
-        if any(x != b and x.startswith(b) for x in self.after.get(a, ())):
-            return 0.0  # a frequent continuation completes the last word
-        n, e = self.one.get(b, (0, 0))
-        return e / n if n > self.seen else None
-
-
-def train_ends(responses: DataFrame, seen: int = 20, kept: int = 200_000) -> EndModel:
-    """Counts two-word sequences and ends over all rows of the text columns; the ``kept`` most
-    frequent ones that occur more than ``seen`` times make the model."""
-    counted = (
-        responses.mapInArrow(_count_ends, "a string, b string, n long, e long")
-        .groupBy("a", "b")
-        .agg(F.sum("n").alias("n"), F.sum("e").alias("e"))
-        .where(F.col("n") > seen)
-        .orderBy(F.desc("n"), "a", "b")
-        .limit(kept)
-    )
-    return EndModel([(r.a, r.b, r.n, r.e) for r in counted.collect()], seen)
+def end_likelihoods(responses: DataFrame, seen: int = 20, prior: int = 1000) -> DataFrame:
+    """Rows (a, b, e, p) of all ends (last word b after a, or after an empty a) of the text columns: how many texts end so, and the
+    likelihood p that a text ends there.
+
+    Counted over all rows, and never on the driver. p backs off from the two words to
+    the last one where the two occur ``seen`` times or less; it is 0 if the last word is
+    only a part of one that often follows a; null where all is too rare to tell. A word
+    that opens a phrase has ``prior`` more occurrences inside texts: some, as a
+    conjunction written apart, are so rare that a corpus has them at broken ends only.
+    """
+    counted = responses.mapInArrow(_count_ends, "a string, b string, n long, e long").groupBy("a", "b").agg(F.sum("n").alias("n"), F.sum("e").alias("e"))
+    counted = checkpointed(counted.where((F.col("n") > seen) | (F.col("a").isNotNull() & (F.col("e") > 0))))
+    two = counted.where("a IS NOT NULL")
+    opening = F.col("b").isin(*OPENING)
+    one = counted.where("a IS NULL").select("b", (F.col("e") / (F.col("n") + F.when(opening, prior).otherwise(0))).alias("p1"))
+    parts = F.transform(F.sequence(F.lit(1), F.length("b") - 1), lambda i: F.substring(F.col("b"), F.lit(1), i))
+    begun = two.where((F.col("n") > seen) & (F.length("b") > 1)).select("a", F.explode(parts).alias("b")).distinct().withColumn("begun", F.lit(True))
+    p = F.when(F.col("n") > seen, F.col("e") / F.col("n")).when(F.col("begun"), 0.0).otherwise(F.coalesce("p1", F.when(opening, 0.0)))
+    return two.where("e > 0").join(begun, ["a", "b"], "left").join(one, "b", "left").select("a", "b", "e", p.alias("p"))
 
 
 class Judge:
-    """Defects of one pair; texts are already in their one form."""
+    """Defects of one pair; texts are already in their one form. A truncation that the corpus decides is left open with its end."""
 
-    def __init__(self, language: LanguageModel, ends: EndModel, least_end: float = 0.05, doubt: float = 0.01):
-        self.language, self.ends, self.least_end, self.doubt = language, ends, least_end, doubt
+    def __init__(self, language: LanguageModel, doubt: float = 0.01):
+        self.language, self.doubt = language, doubt
         #: Posteriors of texts that come again, as explanations without their quotations do.
         self.known: dict[str, dict[str, float]] = {}
 
@@ -201,26 +186,23 @@ class Judge:
         mine, best = max(own, key=own.get), max(theirs, key=theirs.get)
         return best != mine and theirs[mine] < self.doubt and theirs[best] > 0.9 and own[mine] > 0.9
 
-    def breaks_off(self, prompt: list[str], response: str) -> bool:
-        words = tokens(response)
-        if not words:
-            return False
-        if prompt:
-            # The prompt as evidence: where it ends, and where it goes on after the response's last word.
-            last = words[-1]
-            if prompt[-1] == last:
-                return False
-            if len(words) > 2 and words[-3:-1] == prompt[-3:-1]:
-                return prompt[-1].startswith(last)  # else the last word itself was corrected
-            known = set(prompt)
-            if 2 * sum(w in known for w in words) >= len(words) and any(w.startswith(last) for w in prompt[:-1]):
-                return True
-        if words[-1] in HANGING:
-            return True
-        p = self.ends.likelihood(words)
-        return p is not None and p < self.least_end
-
-    def __call__(self, prompt: str | None, correction: str | None, explanation: str | None) -> set[str]:
+    @staticmethod
+    def end_in_prompt(prompt: list[str], words: list[str]) -> float | None:
+        """The likelihood of the end from the prompt's own n-grams, which outweigh the corpus; None where they don't tell."""
+        if not prompt:
+            return None
+        last = words[-1]
+        if prompt[-1] == last:
+            return 1.0
+        if len(words) > 2 and words[-3:-1] == prompt[-3:-1]:
+            return 0.0 if prompt[-1].startswith(last) else 1.0  # the last word itself was corrected
+        known = set(prompt)
+        if 2 * sum(w in known for w in words) >= len(words) and any(w.startswith(last) for w in prompt[:-1]):
+            return 0.0
+        return None
+
+    def __call__(self, prompt: str | None, correction: str | None, explanation: str | None) -> set[tuple[str, str | None, str | None]]:
+        """(defect, None, None), or ("truncated", a, b) with the last two words if it hangs on their likelihood."""
         out = set()
         own = self.language.posterior(prompt) if prompt else {}
         prompt_words = tokens(prompt or "")
@@ -228,32 +210,37 @@ class Judge:
         plain_prompt = bare(prompt or "")
         for field, text in (("correction", correction), ("explanation", explanation)):
             if self.is_empty(text):
-                out.add("empty")
+                out.add(("empty", None, None))
                 continue
             if plain_prompt and bare(text) == plain_prompt:
                 if field == "explanation" or not WAS_RIGHT.search((explanation or "").lower()):
-                    out.add("copied")
+                    out.add(("copied", None, None))
                 continue
             words = tokens(text)
-            # Half of the words are the prompt's own: in the prompt's language, and no refusal.
-            follows = 2 * sum(w in known for w in words) >= len(words)
+            # Half of the words outside quotations are the prompt's own: in the prompt's language, and no refusal.
+            own_words = tokens(QUOTED.sub(" ", text)) if QUOTED.search(text) else words
+            follows = bool(own_words) and 2 * sum(w in known for w in own_words) >= len(own_words)
             if REFUSAL.search(text.lower()) and not follows:
-                out.add("refusal")
+                out.add(("refusal", None, None))
             elif not follows and self.other_language(own, text):
-                out.add("other_language")
-            elif self.breaks_off(prompt_words if field == "correction" else [], text):
-                out.add("truncated")
+                out.add(("other_language", None, None))
+            elif words:
+                p = self.end_in_prompt(prompt_words if field == "correction" else [], words)
+                if p is None:
+                    out.add(("truncated", words[-2] if len(words) > 1 else "", words[-1]))
+                elif not p:
+                    out.add(("truncated", None, None))
         return out
 
 
-def defects(pairs: DataFrame, documents: DataFrame) -> DataFrame:
+def defects(pairs: DataFrame, documents: DataFrame, least_end: float = 0.05) -> DataFrame:
     """Rows (item_id, defect), distinct. ``pairs`` has item_id, input, correction, explanation.
 
     Null, blank or filler responses are ``empty``. Without an input nothing can be
-    copied or in another language. An item that arrives again counts once.
+    copied or in another language. An item that arrives again counts once. ``least_end``:
+    likelihood of an end under which a text is truncated.
     """
-    sc = pairs.sparkSession.sparkContext
-    judge = sc.broadcast(Judge(train_language(documents), train_ends(pairs.select("correction", "explanation"))))
+    judge = pairs.sparkSession.sparkContext.broadcast(Judge(train_language(documents)))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = judge.value
@@ -264,6 +251,11 @@ def defects(pairs: DataFrame, documents: DataFrame) -> DataFrame:
                 for defect in of(p, c, e):
                     ids.append(id_)
                     found.append(defect)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(found, pa.string())], names=["item_id", "defect"])
-
-    return pairs.select("item_id", "input", "correction", "explanation").mapInArrow(run, "item_id long, defect string").distinct()
+            columns = zip(*found, strict=True) if found else ((), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *(pa.array(list(c), pa.string()) for c in columns)], names=["item_id", "defect", "a", "b"])
+
+    judged = checkpointed(pairs.select("item_id", "input", "correction", "explanation").mapInArrow(run, "item_id long, defect string, a string, b string"))
+    # An end that a large part of all texts has is hot, and joined without a shuffle.
+    ends = end_likelihoods(pairs.select("correction", "explanation"))
+    cut = join_unique(judged.where("b IS NOT NULL"), checkpointed(ends), ["a", "b"], "e").where(F.col("p") < least_end)
+    return judged.where("b IS NULL").select("item_id", "defect").unionByName(cut.select("item_id", "defect")).distinct()
