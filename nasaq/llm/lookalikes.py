@@ -30,6 +30,11 @@ from pyspark.sql import DataFrame
 #: Letters of other scripts that look like a Latin letter.
 CYRILLIC = dict(zip("аеорсухіјѕһԁԛԝАВЕКМНОРСТУХІЈЅ", "aeopcyxijshdqwABEKMHOPCTYXIJS", strict=True))
 GREEK = dict(zip("ονΑΒΕΖΗΙΚΜΝΟΡΤΥΧ", "ovABEZHIKMNOPTYX", strict=True))
+#: Armenian and Cherokee letters that look like a Latin letter.
+ARMENIAN = dict(zip("օսհցոՕՏՍԼ", "ouhgnOSUL", strict=True))
+CHEROKEE = dict(zip("ᎠᎡᎢᎥᎪᎫᎳᎷᎻᎽᏀᏃᏎᏚᏞᏟᏢᏦᏴᏒᏙ", "DRTiAJWMHYGZ4SLCPKBRV", strict=True))
+#: Letters of phonetic writing that look like a plain Latin one.
+PHONETIC = dict(zip("ɑɡɩʏ", "agiY", strict=True))
 #: Persian and Urdu letters and digits that look like an Arabic one.
 PERSIAN = dict(zip("کیہھە۰۱۲۳۷۸۹", "كيههه٠١٢٣٧٨٩", strict=True))
 #: Letters and digits that only Persian or Urdu words have.
@@ -44,14 +49,20 @@ ZWJ, SELECTOR = "\u200d", "\ufe0f"
 #: Controls that count as white space.
 CONTROL_SPACES = set("\t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85")
 
+#: Passes over one text that no sound rewriting reaches; the members' lengths bound them in practice to a few.
+MOST_PASSES = 200
 WORD = regex.compile(r"[\p{L}\p{M}\p{N}\p{Cf}]+")
 CROSS_NATIVE = {
     "c": (CYRILLIC, regex.compile(rf"(?![{''.join(CYRILLIC)}])\p{{Cyrillic}}")),
     "g": (GREEK, regex.compile(rf"(?![{''.join(GREEK)}])\p{{Greek}}")),
+    "a": (ARMENIAN, regex.compile(rf"(?![{''.join(ARMENIAN)}])\p{{Armenian}}")),
+    "k": (CHEROKEE, regex.compile(rf"(?![{''.join(CHEROKEE)}])\p{{Cherokee}}")),
+    "l": (PHONETIC, regex.compile(rf"(?![{''.join(PHONETIC)}])[\u0250-\u02af]")),
     "p": (PERSIAN, regex.compile(f"[{PERSIAN_ONLY}]")),
 }
 CROSS = {ch: kind for kind, (twins, _) in CROSS_NATIVE.items() for ch in twins}
 LATIN = regex.compile(r"[\p{Latin}0-9０-９]")
+PLAIN_LATIN = regex.compile("[A-Za-z]")
 EMOJI = regex.compile(r"[\p{So}\p{Sk}\u200d\ufe0f\u20e3]")
 
 
@@ -131,13 +142,15 @@ def representatives(counts: dict[str, int] | None = None) -> dict[str, str]:
     """The rewriting of every member that doesn't represent its class.
 
     The most frequent member represents a class; without counts, and in a tie, the
-    plain form does. Invisible characters always give way to nothing and space
-    forms to the space.
+    plain form does. A letter of another script than the plain form's never
+    represents a class, however frequent: it stands for the plain one in some words
+    only, and the plain one never for it. Invisible characters always give way to
+    nothing and space forms to the space.
     """
     counts = counts or {}
     out = {}
     for x, group in classes().items():
-        best = group[0] if group[0] in ("", " ") else max(group, key=lambda m: counts.get(m, 0))
+        best = group[0] if group[0] in ("", " ") else max((m for m in group if CROSS.get(m, "p") == "p"), key=lambda m: counts.get(m, 0))
         if x != best and x:
             out[x] = best
     return out
@@ -177,7 +190,8 @@ class Rewriter:
 
     def __call__(self, text: str) -> str:
         """The text in its one form; the same text if nothing is to rewrite."""
-        for _ in range(4):  # a rewriting can complete another member, hence again
+        seen = [text]
+        while True:  # a rewriting can complete another member, hence again, to the fixed point
             if self.suspects.isdisjoint(text):
                 break
             out, at = [], 0
@@ -190,6 +204,11 @@ class Rewriter:
             new = "".join(out) + text[at:]
             if new == text:
                 break
+            if new in seen:  # representatives that rewrite each other in turn: the least of the turn, wherever it was entered
+                return min(seen[seen.index(new) :])
+            if len(seen) > MOST_PASSES:
+                raise RuntimeError("the rewriting of a text doesn't settle")
+            seen.append(new)
             text = new
         return text
 
@@ -216,6 +235,8 @@ def _stands_for_other(text: str, word: str, kind: str) -> bool:
     native = CROSS_NATIVE[kind][1]
     if kind == "p":
         return not native.search(word)
+    if kind == "l":
+        return bool(PLAIN_LATIN.search(word)) and not native.search(word)
     if LATIN.search(word):
         return True
     if native.search(word):
