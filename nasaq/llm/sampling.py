@@ -21,7 +21,9 @@ from nasaq.session import checkpointed
 def plan(targets: DataFrame, available: dict[tuple[str, str], int]) -> list[tuple]:
     """(sample_id, task, category, target_share, min_rows, available, goal, offset) of each target row, goal a real number.
 
-    Goals sum up to sample_rows if enough rows exist. A category gets its share, not
+    Goals sum up to sample_rows if enough rows exist: the size comes before the shares, so
+    where too few rows of a category exist, the others exceed their shares and the
+    report says so. A category gets its share, not
     less than its floor and not more than it has; what it lacks or takes beyond its
     share is spread over the others in proportion. offset: the sum of goals of the
     sorted categories before. Null shares and floors count as 0.
@@ -92,6 +94,10 @@ def sample(items: DataFrame, targets: DataFrame, seed: int = 7, bucket: int = 50
     pi = F.col("goal") / F.col("available")
     passed = lambda k: F.floor(F.col("offset") + k * pi + start + F.lit(1e-9))
     ranked = ranked.withColumn("crossed", passed(F.col("rank")) > passed(F.col("rank") - 1))
+    # Only rows that are taken, and the first other one of each bucket, which may repair a floor, go on.
+    first = F.min(F.when(~F.col("crossed"), F.col("rank"))).over(Window.partitionBy(*keys, "b"))
+    ranked = ranked.withColumn("first", first).where("crossed OR rank = first").select(*keys, "item_id", "b", "rank", "crossed")
+    ranked = checkpointed(ranked)
     # Rounding can leave a category one row under its floor; its first rows that weren't taken repair that.
     taken = ranked.where("crossed").groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     short = planned.join(taken, keys, "left").select(
