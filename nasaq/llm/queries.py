@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from nasaq.llm import abuse, contamination, lookalikes, mixing, packing, pairs, sampling
 from nasaq.llm.formatting import FormattingCopies
-from nasaq.llm.items import main_texts, output_texts
+from nasaq.llm.items import ITEMS, main_texts, output_texts
 from nasaq.llm.labels import answer_label, sentiment_label
 from nasaq.llm.near_duplicates import NearDuplicates
 from nasaq.llm.tokens import token_counts, usable
@@ -152,8 +152,63 @@ def _runs(key: str, text: str, source: str) -> str:
     return f"(SELECT DISTINCT {key}, run FROM (SELECT {key}, {following} AS run FROM ({each}) WINDOW p AS (PARTITION BY {key} ORDER BY i)) WHERE run IS NOT NULL)"
 
 
+#: Code points of the ligatures that the SQL resolves.
+_LIGATURES = [*range(0xFB00, 0xFB07), *range(0xFEF5, 0xFEFD)]
+#: Punctuation and white space.
+_NOISE = r"[\p{P}\s\p{Z}\x{85}\x{1c}-\x{1f}]+"
+
+
+def _as_it_looks(c: str) -> str:
+    """A text in its one form, without regard to the script of the word around a letter."""
+    plain = lookalikes.representatives()
+    single = {v: p for v, p in plain.items() if len(v) == 1 and len(p) <= 1 and v not in "\0'"}
+    order = sorted(single, key=lambda v: not single[v])  # what is left over at the end is deleted
+    to = "".join(single[v] for v in order).replace("'", "''")
+    c = f"translate(nfc_normalize({c}), '{''.join(order)}', '{to}')"
+    for cp in _LIGATURES:
+        if plain.get(chr(cp)):
+            c = f"replace({c}, chr({cp}), '{plain[chr(cp)]}')"
+    return f"nfc_normalize({c})"
+
+
+def _formatting_sql() -> str:
+    """A CTE ``c`` (task, item_id, canonical)."""
+    bare = lambda x: f"regexp_replace(lower({x}), '{_NOISE}', '', 'g')"
+    option = bare(f"regexp_replace(o, '{_LABEL}', '')")
+    return f"""
+      p AS (SELECT 'exams' AS task, item_id, list_concat([question], options) AS parts FROM exam_items WHERE len(options) = 4
+            UNION ALL SELECT 'sentiment', item_id, [text] FROM sentiment_items),
+      l AS (SELECT task, item_id, list_transform(parts, lambda x: {_as_it_looks('x')}) AS parts FROM p WHERE len(list_filter(parts, lambda x: x IS NULL OR x = '')) = 0),
+      f AS (SELECT task, item_id, {bare('parts[1]')} AS first, list_sort(list_transform(parts[2:], lambda o: {option})) AS options FROM l),
+      c AS (SELECT DISTINCT task, item_id, first || chr(1) || coalesce(array_to_string(options, chr(1)), '') AS canonical FROM f WHERE first <> '' AND NOT list_contains(options, '')),
+      k AS (SELECT *, min(item_id) OVER (PARTITION BY task, canonical) AS keep_id FROM c)"""
+
+
+def _near_duplicates_sql() -> str:
+    each = " UNION ALL ".join(f"SELECT '{t}' AS task, item_id, {c} AS text FROM {name}" for t, name, c, _ in ITEMS)
+    return f"""
+      WITH RECURSIVE t AS ({each}),
+      w AS (SELECT DISTINCT task, item_id, list_sort(list_distinct(list_filter(regexp_split_to_array(regexp_replace(lower({_as_it_looks('text')}), '{_NOISE}', ' ', 'g'), ' +'), lambda x: x <> ''))) AS words
+            FROM t WHERE text IS NOT NULL),
+      s AS (SELECT task, words, min(item_id) AS id, len(words) AS n FROM w WHERE len(words) > 0 GROUP BY task, words),
+      e AS (SELECT task, id, n, unnest(words) AS word FROM s),
+      pairs AS (SELECT a.task, a.id AS a, b.id AS b FROM e a JOIN e b ON a.task = b.task AND a.word = b.word AND a.id < b.id AND least(a.n, b.n) >= 0.7 * greatest(a.n, b.n) - 1e-9
+                GROUP BY a.task, a.id, b.id, a.n, b.n HAVING count(*)::DOUBLE / (a.n + b.n - count(*)) >= 0.7 - 1e-9),
+      links AS (SELECT task, a, b FROM pairs UNION SELECT task, b, a FROM pairs),
+      reach AS (SELECT task, a, b FROM links UNION SELECT r.task, r.a, l.b FROM reach r JOIN links l ON r.task = l.task AND r.b = l.a),
+      root AS (SELECT task, a AS id, min(b) AS low FROM reach GROUP BY task, a),
+      g AS (SELECT w.task, w.item_id, least(s.id, coalesce(root.low, s.id)) AS group_id FROM w JOIN s ON w.task = s.task AND w.words = s.words LEFT JOIN root ON root.task = s.task AND root.id = s.id)
+      SELECT DISTINCT task, group_id, item_id FROM g WHERE item_id <> group_id"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL where it can express the operator; the others are tested against brute force."""
     docs = _runs("doc_id", "text", "documents")
     items = _runs("test_id", rf"concat_ws(chr(10), question, array_to_string(list_transform(options, lambda o: regexp_replace(o, '{_LABEL}', '')), chr(10)))", "eval_items")
-    return {"p4_found": f"SELECT DISTINCT doc_id, test_id FROM {docs} JOIN {items} USING (run)"}
+    copies = f"WITH {_formatting_sql()}"
+    return {
+        "p1_found": f"{copies} SELECT DISTINCT task, keep_id, item_id AS copy_id FROM k WHERE item_id <> keep_id",
+        "p1_collapsed": f"{copies} SELECT task, keep_id, count(DISTINCT item_id) AS n_copies FROM k GROUP BY task, keep_id",
+        "p3_found": _near_duplicates_sql(),
+        "p4_found": f"SELECT DISTINCT doc_id, test_id FROM {docs} JOIN {items} USING (run)",
+    }

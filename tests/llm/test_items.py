@@ -56,6 +56,25 @@ def test_frequency_chooses_the_representative(spark):
     assert L.representatives({"ک": 9, "ك": 1})["ك"] == "ک"
 
 
+def test_letters_of_another_script_never_represent():
+    r = L.representatives({A_CUT: 9, "a": 1, "Α": 50, "A": 2})
+    assert "a" not in r and "A" not in r and r[A_CUT] == "a" and L.Rewriter(r)("plain cAt") == "plain cAt"
+
+
+def test_rewriting_that_turns_in_a_circle_settles():
+    turning = L.Rewriter({"b": "d", "dc": "bc"})
+    assert turning("bc") == turning("dc") == "bc"
+    chain = L.Rewriter({chr(97 + i): chr(98 + i) for i in range(20)})
+    assert chain("a") == "u"  # more passes than a few
+
+
+def test_armenian_cherokee_and_phonetic_twins():
+    for text, form in (("hell\u0585 w\u0585rld", "hello world"), ("\u13aapple", "Apple"), ("\u0261ood", "good")):
+        assert L.as_it_looks(text) == form
+    for text in ("\u0562\u0561\u0580\u0565\u0582", "\u13e3\u13b3\u13a9", "\u0261\u028ad"):
+        assert L.as_it_looks(text) == text
+
+
 def test_sequences_are_counted_in_every_text(spark):
     texts = ["لا " * 5, "كلا", "ﻻ ﻻ", "fi fi fi", "ﬁ", "e\u0301 e\u0302\u0301 ﬁ ﻻ", None, "", "ل", "ا", "ffi"]
     df = spark.createDataFrame([(t,) for t in texts], "t string").coalesce(1)
@@ -169,8 +188,13 @@ def test_links_of_a_hot_family_are_exact(spark):
 def judge(spark):
     docs = [("en", "the book is on the table and the pupil reads it"), ("ar", "الكتاب على الطاولة والطالب يقرأ الدرس"), ("fr", "le livre est sur la table et le garçon lit"), ("es", "el libro está sobre la mesa y el niño lee"), ("de", "das Buch liegt auf dem Tisch und der Junge liest")]
     df = spark.createDataFrame([(i, k, t) for i, (k, t) in enumerate(docs * 5)], "doc_id long, lang string, text string")
-    texts = spark.createDataFrame([("the verb agrees with its subject in every tense.",)] * 60, "e string")
-    return pairs.Judge(pairs.train_language(df), pairs.train_ends(texts))
+    # The ends of the cases below are among the texts, as they are when a corpus is judged.
+    rare = ["the verb agrees with its sub", "the verb agrees with its subject in the", "Agreement."]
+    texts = spark.createDataFrame([("the verb agrees with its subject in every tense.",)] * 60 + [(x,) for x in rare], "e string")
+    likely = {(r.a, r.b): r.p for r in pairs.end_likelihoods(texts).collect()}
+    assert likely["every", "tense"] == 1.0 and likely["its", "sub"] == 0.0 and likely["in", "the"] < 0.05 and likely["", "agreement"] is None
+    of = pairs.Judge(pairs.train_language(df))
+    return lambda *pair: {d for d, a, b in of(*pair) if b is None or (likely.get((a, b)) is not None and likely[a, b] < 0.05)}
 
 
 @pytest.mark.parametrize(
@@ -179,11 +203,14 @@ def judge(spark):
         ("he go home with the book today", "he goes home with the book today", "the verb agrees with its subject in every tense.", set()),
         ("he go home with the book today", "he goes home with the", "the verb agrees with its subject in every tense", {"truncated"}),
         ("he go home with the book today", "he goes home with the book today", "the verb agrees with its sub", {"truncated"}),
+        ("he go home with the book today", "he goes home with the book today", "the verb agrees with its subject in the", {"truncated"}),
         ("he go home with the book today", "N/A", None, {"empty"}),
         ("he go home with the book today", "He go home, with the book today!", "Agreement.", {"copied"}),
         ("he goes home with the book today", "he goes home with the book today.", "No change is needed here.", set()),
         ("he go home with the book today", "I am unable to correct this sentence.", "-", {"refusal", "empty"}),
         ("he go home with the book today", "he goes home with the book today", "el verbo está sobre la mesa y el niño lee el libro", {"other_language"}),
+        # A quoted prompt doesn't hide the language around it.
+        ("he go home with the book today", "he goes home with the book today", 'el verbo está mal: "he go home with the book today" y el niño lee el libro sobre la mesa', {"other_language"}),
         (None, "he goes home", "Agreement.", set()),
         ("", None, None, {"empty"}),
     ],
