@@ -22,7 +22,7 @@ COLUMNS = {
 def test_query_runs_over_the_tables(spark, name):
     df = Q.queries()[name](spark, DATA)
     assert COLUMNS.get(name, set(df.columns)) == set(df.columns)
-    assert df.count() > 0
+    assert df.count() >= (name != "p9_found")  # none of the hundred documents is a case
 
 
 @pytest.mark.parametrize("name", sorted(Q.oracle_sql()))
