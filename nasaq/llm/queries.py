@@ -18,6 +18,7 @@ from nasaq.sources.tables import table
 
 
 def _formatting(spark: SparkSession, d: str) -> FormattingCopies:
+    """Records that can be cases: exams of four options, sentiment texts; others, and those with a null or blank part, are left out."""
     exams = table(spark, d, "exam_items").where("size(options) = 4").select(
         F.lit("exams").alias("task"), "item_id", F.concat(F.array("question"), "options").alias("parts")
     )
