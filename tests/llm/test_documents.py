@@ -139,6 +139,16 @@ def test_threshold_is_fitted_on_labels(spark):
     assert sorted(r.doc_id for r in abuse.flagged(docs, labels).collect()) == list(range(0, 90, 3))
 
 
+def test_threshold_is_fitted_on_all_labels(spark):
+    # 25 positive documents among 15,125: a third of them would have too few to fit.
+    texts = ["you idiot"] * 25 + ["hardcore"] * 100 + ["a lesson"] * 15_000
+    assert passage_score("you idiot") == 2.5 and passage_score("hardcore") == 2.0
+    docs = spark.createDataFrame([(i, "a", x) for i, x in enumerate(texts)], "doc_id long, source string, text string")
+    labels = spark.createDataFrame([(i, int(i < 25)) for i in range(len(texts))], "doc_id long, toxic int")
+    assert abuse.fitted_threshold(docs, labels) == 2.5
+    assert abuse.flagged(docs, labels).count() == 25
+
+
 def test_scores_and_rates(spark):
     long = "plain " * 40_000 + "you idiot"
     df = spark.createDataFrame([(1, "you idiot", "a", 0), (1, "you idiot", "a", 0), (2, None, "a", 0), (3, "", None, 0), (4, long, "b", 0)], DOCS)
