@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import functools
 import math
 from collections.abc import Iterable, Iterator
 
@@ -14,7 +13,7 @@ from pyspark.sql import functions as F
 
 from nasaq.functions.components import components
 from nasaq.functions.text import tokens
-from nasaq.session import checkpointed, spread
+from nasaq.session import checkpointed, spread, stored
 
 
 def jaccard(a: Column, b: Column) -> Column:
@@ -102,114 +101,208 @@ def most_edits(longer: int, threshold: float) -> int:
     return math.floor((1 - threshold) * longer + 1e-9)
 
 
-@functools.lru_cache(200_000)
-def _pieces(n: int, threshold: float, spare: float) -> tuple[int, int]:
-    """(number, length) of the pieces of a text of n characters: more than edits that any longer similar text can take."""
-    edits = most_edits(math.floor(n / threshold + 1e-9), threshold)
-    if not edits or n <= edits:
-        return 0, 0  # only equal texts are similar; or so short that a piece would be empty
-    number = min(n, math.ceil((1 + spare) * (edits + 1)))
-    return number, n // number
+#: Bits of the sketch of a text, and 64-bit words of it.
+BITS = 4096
+WORDS = BITS // 64
 
 
-def _hashes(points: np.ndarray, width: int) -> np.ndarray:
-    """64-bit hashes of all runs of ``width`` code points."""
-    out = np.full(max(0, len(points) - width + 1), width, np.uint64)
-    for k in range(width):
-        out = out * np.uint64(0x9E3779B97F4A7C15) + points[k : k + len(out)]
-        out ^= out >> np.uint64(31)
-    return out.view(np.int64)
+def _edits(n: np.ndarray, threshold: float) -> np.ndarray:
+    return np.floor((1 - threshold) * n + 1e-9).astype(np.int64)
 
 
-def _places(n: int, threshold: float) -> int:
-    """The width of a bucket of places, by the length of the shorter text: a power of two above twice the most edits."""
-    return 1 << (2 * most_edits(math.floor(n / threshold + 1e-9), threshold)).bit_length()
+def _longest(n: np.ndarray, threshold: float) -> np.ndarray:
+    """The length of the longest text that can be similar to one of n characters."""
+    return np.floor(n / threshold + 1e-9).astype(np.int64)
 
 
-@functools.lru_cache(200_000)
-def _forms(n: int, threshold: float, spare: float) -> list[tuple[int, int]]:
-    """(length, bucket width) of the pieces of all shorter texts that can be similar to one of n characters."""
-    edits = most_edits(n, threshold)
-    widths = {(_pieces(k, threshold, spare)[1], _places(k, threshold)) for k in range(max(1, n - edits), n + 1)} if edits else set()
-    return sorted(x for x in widths if x[0])
+def _bucket(n: np.ndarray, threshold: float) -> np.ndarray:
+    """Numbers of buckets of lengths, whose ends grow by a factor; a text and a similar one are in the same or neighbouring ones, mostly."""
+    return np.floor(np.log(n) / math.log(1 + 2 * (1 - threshold))).astype(np.int64) if threshold < 1 else n
 
 
-def _keys(threshold: float, spare: float, of_pieces: bool):
-    """Keys of (ix, s): the pieces of each text, or else all its runs of the lengths that pieces of a shorter similar text can have.
+def _width(bucket: int, threshold: float, spare: float) -> int:
+    """The words of a sketch in a bucket of lengths: a power of two."""
+    edits = most_edits(math.floor((1 + 2 * (1 - threshold)) ** (bucket + 1)), threshold)
+    return min(WORDS, 2 ** max(0, round(math.log2(max(1.0, 10 * (1 + spare) * edits / 64)))))
 
-    A key is the hash of the characters and of the bucket of their place; a run has the
-    buckets of all places that edits can move it to.
+
+def _sketches(texts: list[str]) -> np.ndarray:
+    """Rows of WORDS words: each pair of neighbouring characters flips one bit."""
+    out = np.zeros((len(texts), WORDS), np.uint64)
+    for first in range(0, len(texts), 500):
+        part = texts[first : first + 500]
+        points = np.frombuffer("".join(part).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+        row = np.repeat(np.arange(len(part)), [len(t) for t in part])
+        two = (points[:-1] * np.uint64(0x9E3779B97F4A7C15) + points[1:]) * np.uint64(0xD6E8FEB86659FD93)
+        at = row[:-1] * BITS + ((two ^ (two >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(52)).astype(np.int64)
+        odd = (np.bincount(at[row[:-1] == row[1:]], minlength=len(part) * BITS) & 1).astype(np.uint8)
+        out[first : first + len(part)] = np.packbits(odd).view(np.uint64).reshape(len(part), WORDS)
+    return out
+
+
+def _distances(sketches: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    return np.stack([np.bitwise_count(sketches ^ p).sum(axis=1, dtype=np.int32) for p in pivots], axis=1)
+
+
+def _members(far: np.ndarray, most: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(the nearest pivot of each text, whether it is in the cell of each pivot).
+
+    Of two texts whose sketches differ in ``most`` bits at most, with nearest pivots
+    P < Q, the second is no more than twice as many bits farther from P than from Q
+    (triangle inequality); so it is put into the cell of P too, and they meet there.
     """
+    home = far.argmin(axis=1)
+    own = np.arange(far.shape[1]) == home[:, None]
+    near = far <= (far[np.arange(len(far)), home] + 2 * most)[:, None]
+    return home, own | (near & (np.arange(far.shape[1]) < home[:, None]))
+
+
+def _pivots(sketches: np.ndarray, most: np.ndarray, at_most: int = 128, copies: float = 3.0) -> np.ndarray:
+    """Some of the sketches, far from each other, so many that comparing cells costs least. They decide on the cost alone, never on the pairs."""
+    chosen, far = [0], _distances(sketches, sketches[:1])
+    while len(chosen) < min(at_most, len(sketches)) and far.min(axis=1).max() > 0:
+        chosen.append(int(far.min(axis=1).argmax()))
+        far = np.concatenate([far, _distances(sketches, sketches[chosen[-1:]])], axis=1)
+    best, least = 1, math.inf
+    for n in range(1, len(chosen) + 1):
+        home, member = _members(far[:, :n], most)
+        own = np.bincount(home, minlength=n)
+        cost = float((own * member.sum(axis=0)).sum())
+        if cost < least and member.sum() <= copies * len(sketches):
+            best, least = n, cost
+    return sketches[chosen[:best]]
+
+
+PLACED = "cell long, ix long, n int, far int, own boolean, short boolean, sketch binary"
+
+
+def _placed(pivots: np.ndarray, threshold: float, spare: float):
+    """The copies of each (ix, s) in cells: of its pivots, and of the buckets of all lengths that a similar text that isn't longer can have."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, at, many = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)], []
-            lengths = []
-            for s in batch.column(1).to_pylist():
-                n = len(s)
-                lengths.append(n)
-                number, width = _pieces(n, threshold, spare)
-                forms = ([(width, _places(n, threshold))] if number else []) if of_pieces else _forms(n, threshold, spare)
-                points = np.frombuffer(s.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64) if forms else None
-                count, moved = 0, most_edits(n, threshold)
-                for w, bucket in forms:
-                    h = _hashes(points, w) * np.int64(31) + bucket
-                    places = np.arange(0, number * w, w) if of_pieces else np.arange(len(h))
-                    h, first = h[places], places if of_pieces else np.maximum(places - moved, 0)
-                    made = [(h ^ (first // bucket) * MIX, places)]
-                    if not of_pieces:
-                        two = np.flatnonzero((places + moved) // bucket > first // bucket)
-                        made.append((h[two] ^ ((places[two] + moved) // bucket) * MIX, places[two]))
-                    for k, p in made:
-                        keys.append(k)
-                        at.append(p.astype(np.int32))
-                        count += len(p)
-                many.append(count)
+            texts = batch.column(1).to_pylist()
+            n = np.array([len(t) for t in texts], np.int64)
+            whole, most = _sketches(texts), 4 * _edits(_longest(n, threshold), threshold)
+            far = _distances(whole, pivots)
+            home, member = _members(far, most)
+            member[most == 0] = False  # only equal texts are similar to these
+            row, pivot = np.nonzero(member)
+            low, high = _bucket(np.maximum(1, n - _edits(n, threshold)), threshold), _bucket(np.maximum(1, n), threshold)
+            many = (high - low + 1)[row]
+            bucket = np.repeat(low[row], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+            row, pivot = np.repeat(row, many), np.repeat(pivot, many)
+            sketch: list[bytes] = [b""] * len(row)
+            for b in np.unique(bucket).tolist():
+                at, w = np.flatnonzero(bucket == b), _width(b, threshold, spare)
+                data = np.bitwise_xor.reduce(whole[row[at]].reshape(len(at), WORDS // w, w), axis=1).tobytes()
+                for i, k in enumerate(at.tolist()):
+                    sketch[k] = data[i * 8 * w : (i + 1) * 8 * w]
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            columns = [np.concatenate(keys), np.repeat(ids, many), np.repeat(np.array(lengths, np.int32), many), np.concatenate(at)]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "ix", "n", "at"])
+            columns = [
+                pa.array(bucket * 1000 + pivot), pa.array(ids[row]), pa.array(n[row].astype(np.int32)), pa.array(far[row, pivot].astype(np.int32)),
+                pa.array(home[row] == pivot), pa.array(bucket == high[row]), pa.array(sketch, pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["cell", "ix", "n", "far", "own", "short", "sketch"])
 
     return run
 
 
-MIX = np.int64(0x5851F42D4C957F2D)
-KEYS = "key long, ix long, n int, at int"
+def _compared(threshold: float, tile: int = 32, wide: int = 1024):
+    """Pairs (a, b) of a cell whose lengths and sketches allow similarity: a shorter text of the cell's bucket with one that isn't shorter."""
+
+    def run(table: pa.Table) -> pa.Table:
+        columns = {c: table.column(c).to_numpy() for c in ("ix", "n", "far", "own", "short")}
+        order = np.lexsort((columns["ix"], columns["n"]))
+        ix, n, far, own, short = (columns[c][order] for c in ("ix", "n", "far", "own", "short"))
+        n, far = n.astype(np.int64), far.astype(np.int64)
+        words = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint64).reshape(len(ix), -1)[order]
+        by_word = np.ascontiguousarray(words.T)
+        half = len(by_word)
+        edits = _edits(n, threshold)
+        longest = _longest(n, threshold)
+        buffers = [np.zeros(tile * wide, kind) for kind in (np.uint64, np.uint8, np.uint8, np.uint16)]
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+        for shorts, among in ((np.flatnonzero(short & own), np.arange(len(ix))), (np.flatnonzero(short & ~own), np.flatnonzero(own))):
+            for first in range(0, len(shorts), tile):
+                a = shorts[first : first + tile]
+                b = among[(among > a[0]) & (among < np.searchsorted(n, longest[a[-1]], "right"))]
+                b = b[(far[b] <= far[a].max() + 4 * edits[b]) & (far[b] >= far[a].min() - 4 * edits[b])]
+                for at in range(0, len(b), wide):
+                    c = b[at : at + wide]
+                    most = int(4 * edits[c[-1]])
+                    # A sum that runs over is a false candidate; that of a similar pair doesn't, as it is ``most`` at most.
+                    xor, ones, differ = (x[: len(a) * len(c)].reshape(len(a), len(c)) for x in (buffers[0], buffers[1], buffers[2 if most < 256 else 3]))
+                    for k, w in enumerate(by_word[:half]):
+                        np.bitwise_xor(w[a][:, None], w[c][None, :], out=xor)
+                        if k:
+                            np.add(differ, np.bitwise_count(xor, out=ones), out=differ)
+                        else:
+                            np.bitwise_count(xor, out=differ)
+                    i, j = np.divmod(np.flatnonzero(differ <= differ.dtype.type(min(most, 65535))), len(c))
+                    i, j = a[i], c[j]
+                    apart = n[j] - n[i]
+                    ok = (i < j) & (apart <= edits[j])
+                    i, j, apart = i[ok], j[ok], apart[ok]
+                    # An edit takes two pairs of characters away and adds two; one that changes the length one less.
+                    ok = np.bitwise_count(words[i] ^ words[j]).sum(axis=1, dtype=np.int64) <= 4 * edits[j] - apart
+                    found.append((ix[i[ok]], ix[j[ok]]))
+        a, b = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (zip(*found, strict=True) if found else ((), ())))
+        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+    return run
 
 
-def similar_pairs(rows: DataFrame, threshold: float = 0.93, spare: float = 1.5, proof: float = 0.1) -> DataFrame:
+def similar_pairs(rows: DataFrame, threshold: float = 0.93, spare: float = 1.5, per_cell: int = 100_000) -> DataFrame:
     """Pairs (a, b), a < b, of (ix long unique, s string distinct) with normalised Levenshtein similarity of at least ``threshold``.
 
-    Published idea: Li et al., "Pass-Join" (PVLDB 2011). Two similar texts differ by k
-    edits at most, and an edit changes one of the disjoint pieces of the shorter text at
-    most; the others stand unchanged in the longer one, at most k places away: an
-    equi-join of pieces and runs finds every similar pair. A text is cut into ``spare``
-    more pieces than k + 1 and keeps its rarest ones, so common parts (the keys of JSON,
-    say) make no key; it keeps ``proof`` more than k + 1, so a pair must collide in
-    that many pieces. Only such pairs are compared, by the capped Levenshtein distance
-    in double arithmetic. The empty text is similar to itself alone.
+    The sketch of a text is the parity of its pairs of neighbouring characters by
+    hash; an edit changes four bits at most, so sketches of similar texts differ in few.
+    Texts are put into cells by length and by the nearest of some pivots, and into
+    those of other pivots where the triangle inequality allows a similar text there
+    (published idea: Das Sarma et al., "ClusterJoin", PVLDB 2014). In a cell, whole
+    blocks of sketches are compared at once; what they allow is compared by the
+    capped Levenshtein distance in double arithmetic. No pair is lost. A text moves in a
+    few copies of its sketch, which has ``spare`` more bits than the least useful
+    number; its shorter texts are split over tasks in cells of more than ``per_cell``
+    rows. The empty text is similar to itself alone.
     """
-    rows = spread(rows.select("ix", "s").where("length(s) > 0"), F.length("s"), 1_000_000)
-    edits = lambda n: F.floor(F.lit(1 - threshold) * n + F.lit(1e-9))
-    pieces = rows.mapInArrow(_keys(threshold, spare, True), KEYS)
-    often = pieces.groupBy("key").agg(F.count(F.lit(1)).alias("often"))
-    needed = F.ceil((edits(F.floor(F.col("n") / F.lit(threshold) + F.lit(1e-9))) + 1) * F.lit(1 + proof))
-    rarest = F.slice(F.sort_array(F.collect_list(F.struct("often", "key", "at"))), F.lit(1), F.first(needed).cast("int"))
-    kept = pieces.join(often, "key").groupBy("ix").agg(F.first("n").alias("n"), rarest.alias("p"))
-    index = kept.select("ix", "n", F.size("p").alias("kept"), F.inline("p")).select("key", F.col("ix").alias("x"), F.col("n").alias("nx"), "kept", F.col("at").alias("px"))
-    runs = rows.mapInArrow(_keys(threshold, spare, False), KEYS)
-    k = edits(F.col("n"))
-    met = runs.join(index, "key").where((F.col("nx") <= F.col("n")) & (F.col("ix") != F.col("x")) & (F.col("n") - F.col("nx") <= k) & (F.abs(F.col("at") - F.col("px")) <= k))
-    pairs = (
-        met.groupBy("x", "ix").agg(F.count(F.lit(1)).alias("found"), F.first(F.col("kept") - k).alias("least")).where("found >= least")
-        .select(F.least("ix", "x").alias("a"), F.greatest("ix", "x").alias("b")).distinct()
-    )
-    pairs = spread(pairs, F.lit(1), 5_000)
+    return _similar_pairs(stored(rows.select("ix", "s").where("length(s) > 0"), "texts"), threshold, spare, per_cell)
+
+
+def _similar_pairs(rows: DataFrame, threshold: float, spare: float = 1.5, per_cell: int = 100_000) -> DataFrame:
+    """The same of rows that are cheap to read again."""
+    spark = rows.sparkSession
+    tasks = spark.sparkContext.defaultParallelism
+    part = F.pmod(F.xxhash64("ix", F.lit("pivot")), F.lit(1_000_000)) / 1_000_000.0
+    few = rows.where(part < 2_000 / max(1, rows.count())).mapInArrow(_sketched, "n int, sketch binary").collect()
+    if few:
+        n = np.array([r.n for r in few], np.int64)
+        pivots = _pivots(np.frombuffer(b"".join(bytes(r.sketch) for r in few), np.uint64).reshape(len(few), WORDS), 4 * _edits(_longest(n, threshold), threshold))
+    else:
+        pivots = np.zeros((1, WORDS), np.uint64)
+    placed = stored(rows.mapInArrow(_placed(pivots, threshold, spare), PLACED), "cells")
+    cells = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("rows"))
+    # There are as many cells at most as pivots and buckets of lengths, at any number of rows.
+    parts = cells.where(F.col("rows") > per_cell).select("cell", F.ceil(F.col("rows") / per_cell).cast("int").alias("parts"))
+    placed = placed.join(F.broadcast(parts), "cell", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    placed = placed.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    placed = placed.withColumn("short", F.expr("short AND pmod(xxhash64(ix), parts) = part")).drop("parts")
+    met = placed.repartition(8 * tasks, "cell", "part").groupBy("cell", "part").applyInArrow(_compared(threshold), "a long, b long")
+    pairs = spread(met, F.lit(1), 5_000)
     both = pairs.join(rows.select(F.col("ix").alias("a"), F.col("s").alias("sa")), "a").join(rows.select(F.col("ix").alias("b"), F.col("s").alias("sb")), "b")
     # A cap that depends on the row needs the SQL form.
     both = both.repartition(pairs.rdd.getNumPartitions()).withColumn("m", F.greatest(F.length("sa"), F.length("sb"))).withColumn("d", F.expr(f"levenshtein(sa, sb, CAST(ceil({1 - threshold!r}D * m) AS INT) + 1)"))
     return both.where((F.col("d") >= 0) & (1.0 - F.col("d") / F.col("m").cast("double") >= F.lit(threshold))).select("a", "b")
 
 
+def _sketched(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts = batch.column(1).to_pylist()
+        n = pa.array([len(t) for t in texts], pa.int32())
+        yield pa.RecordBatch.from_arrays([n, pa.array([x.tobytes() for x in _sketches(texts)], pa.binary())], names=["n", "sketch"])
+
+
 def _drops_of(links: Iterable[tuple[int, int]]) -> list[int]:
     """The ids that the sequential rule drops, over links (a, b) with a < b."""
     earlier: dict[int, list[int]] = {}
@@ -264,7 +357,7 @@ def fuzzy_keep(rows: DataFrame, order: str, text: str, threshold: float = 0.93)
     count as the empty text. Extra columns ride along.
     """
     ranked = rows.withColumn("_s", F.coalesce(text, F.lit("")))
-    firsts = checkpointed(ranked.groupBy("_s").agg(F.min(order).alias("ix")).select("ix", F.col("_s").alias("s")))
-    dropped = first_kept(similar_pairs(firsts, threshold))
+    firsts = stored(ranked.groupBy("_s").agg(F.min(order).alias("ix")).select("ix", F.col("_s").alias("s")), "firsts")
+    dropped = first_kept(_similar_pairs(firsts.where("length(s) > 0"), threshold))
     keep = firsts.select("ix").join(dropped, "ix", "left_anti").withColumnRenamed("ix", order)
     return rows.join(keep, order, "left_semi")

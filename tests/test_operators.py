@@ -1,6 +1,7 @@
 import json
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -162,6 +163,21 @@ def test_fuzzy_keep_equals_the_sequential_rule(spark):
         assert sorted(dropped) == sorted(set(range(len(distinct))) - set(sequential(distinct)))
 
 
+def test_similar_texts_of_one_template_move_in_few_copies(spark):
+    rng = random.Random(5)
+    name = lambda: "".join(rng.choice("bdfgklmnrst") + rng.choice("aeiou") for _ in range(4))
+    texts = [f"He did not see the sign while {name()} was in {name()} for the pure change of {name()} and {name()}" for _ in range(60)]
+    texts += [t.replace("sign", "sigh") for t in texts[:10]] + [t.replace("did not", "didnt") for t in texts[5:15]]
+    want = {(i, k) for k, b in enumerate(texts) for i, a in enumerate(texts[:k]) if 1 - lev(a, b) / max(len(a), len(b)) >= 0.93}
+    assert len(want) >= 20
+    df = spark.createDataFrame(list(enumerate(texts)), "ix long, s string")
+    pivots = similarity._pivots(similarity._sketches(texts), 4 * similarity._edits(similarity._longest(np.array([len(t) for t in texts]), 0.93), 0.93))
+    moved = df.mapInArrow(similarity._placed(pivots, 0.93, 1.5), similarity.PLACED)
+    assert moved.count() <= 7 * len(texts)  # a row for each run of characters were some hundred
+    for per_cell in (100_000, 20):
+        assert sorted(tuple(r) for r in similarity.similar_pairs(df, per_cell=per_cell).collect()) == sorted(want)
+
+
 def test_fuzzy_boundary_and_chain(spark):
     a = "a" * 100
     rows = [(0, a), (1, "b" * 7 + a[7:]), (2, None), (3, None)]
