@@ -28,6 +28,10 @@ needs connections only: it is linked through its least member first, and only pa
 that this leaves in different components are compared. ``run`` also counts the
 links, so there every pair of such a bucket is compared, in blocks of bounded size:
 no link is lost or capped, and the work grows with the pairs of the bucket.
+
+What is shuffled by a hash (word sets, keys, words of the sets in a pair) lies in slices
+by it, which are taken in up to eight passes: equal hashes are in one slice, so no pair
+is lost, and only the shuffles of one pass are on disk at a time.
 """
 
 from __future__ import annotations
@@ -50,7 +54,7 @@ from pyspark.sql import functions as F
 from nasaq.functions.components import components
 from nasaq.functions.skew import join_unique
 from nasaq.llm.lookalikes import all_as_they_look
-from nasaq.session import checkpointed, release, stored
+from nasaq.session import Slices, checkpointed, release
 
 PUNCTUATION = regex.compile(r"\p{P}+")
 ASTRAL = re.compile("[\U00010000-\U0010ffff]")
@@ -68,7 +72,8 @@ class Settings:
     in blocks of about so many rows. words: most
     words whose frequency is broadcast (others count as rare, which costs time but
     no link). tail: most keys of frequent words that prune the other side. hot_rows:
-    rows of a set or a group above which they aren't shuffled to one task."""
+    rows of a set or a group above which they aren't shuffled to one task. per_pass:
+    word sets whose keys are shuffled at a time, if eight passes are enough."""
 
     similarity: float = 0.7
     bucket: int = 128
@@ -77,6 +82,7 @@ class Settings:
     words: int = 100_000
     tail: int = 400_000
     hot_rows: int = 1_000_000
+    per_pass: int = 200_000
 
 
 def words_of(text: str) -> list[str]:
@@ -200,12 +206,13 @@ class _Emitter:
 
 
 KEYS = "key long, id long, n int, at int, sketch long"
-ARROW = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64()]
 NAMES = ["key", "id", "n", "at", "sketch"]
+#: A set with its keys by slice, which takes a third of the room of a row for each key.
+BY_SET = "id long, n int, sketch long, " + ", ".join(f"k{i} array<struct<key: long, at: int>>" for i in range(Slices.COUNT))
 
 
-def _emit(shared: Broadcast, s: Settings, of_rare: bool):
-    """Keys that rare words start, each with its position; or else those that frequent words start, with position 0."""
+def _emit(shared: Broadcast, s: Settings):
+    """Keys that rare words start, each with its position, and those that frequent words start, with position 0."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         freq, totals, tail_set = shared.value
@@ -216,18 +223,23 @@ def _emit(shared: Broadcast, s: Settings, of_rare: bool):
             per_row, sizes, sketches = [], [], []
             for task, joined in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 words = joined.split(" ")
-                own = emitter.rare_keys(task, words) if of_rare else emitter.tail_keys(task, words)
-                keys += own
-                at += range(1, len(own) + 1) if of_rare else [0] * len(own)
-                per_row.append(len(own))
+                rare, tail = emitter.rare_keys(task, words), emitter.tail_keys(task, words)
+                keys += rare
+                keys += tail
+                at += range(1, len(rare) + 1)
+                at += [0] * len(tail)
+                per_row.append(len(rare) + len(tail))
                 sizes.append(len(words))
-                sketches.append(emitter.sketch(words) if own else 0)
-            ids = batch.column(1).to_numpy(zero_copy_only=False)
-            each = [
-                np.array(keys, np.uint64).view(np.int64), np.repeat(ids, per_row), np.repeat(np.array(sizes, np.int32), per_row),
-                np.array(at, np.int32), np.repeat(np.array(sketches, np.uint64).view(np.int64), per_row),
-            ]
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(each, ARROW, strict=True)], names=NAMES)
+                sketches.append(emitter.sketch(words) if rare or tail else 0)
+            each, row = np.array(keys, np.uint64), np.repeat(np.arange(len(per_row)), per_row)
+            position, slice_of = np.array(at, np.int32), each % np.uint64(Slices.COUNT)
+            columns = [batch.column(1), pa.array(sizes, pa.int32()), pa.array(np.array(sketches, np.uint64).view(np.int64))]
+            for k in range(Slices.COUNT):
+                own = slice_of == k
+                ends = np.concatenate([[0], np.cumsum(np.bincount(row[own], minlength=len(per_row)))]).astype(np.int32)
+                pair = pa.StructArray.from_arrays([pa.array(each[own].view(np.int64)), pa.array(position[own])], names=["key", "at"])
+                columns.append(pa.ListArray.from_arrays(pa.array(ends), pair))
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "n", "sketch", *(f"k{k}" for k in range(Slices.COUNT))])
 
     return run
 
@@ -298,25 +310,19 @@ class NearDuplicates:
 
     def _grouped(self, every: bool) -> DataFrame:
         s = self.s
-        members = stored(
-            self.all.select("task", "id", "words", F.xxhash64("words", "task").alias("h1"), F.xxhash64(F.lit(1), "task", "words").alias("h2")),
-            "word-sets",
-        )
-        # One row for each distinct word set. A set's own id, unlike an item id, is unique over tasks.
-        sets = members.groupBy("task", "words").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("copies")).select(
-            F.xxhash64("words", "task").alias("id"), "task", "words", "least", "copies"
-        )
-        sets = stored(sets, "distinct-sets")
+        members, sets = self._distinct_sets()
         links = self._links(sets, every)
         roots = components(links.select("a", "b"))
         # The group of a set is named by the least item id in its component.
-        by_set = sets.select("id", "task", "least", "copies").join(roots, "id", "left").select(
+        by_set = sets.rows().select("id", "task", "least", "copies").join(roots, "id", "left").select(
             "id", "least", "copies", F.coalesce("root", "id").alias("root")
         )
         by_set = checkpointed(by_set)
+        sets.drop()
+        release(self.spark)
         names = by_set.groupBy("root").agg(F.min("least").alias("group_id"), F.count(F.lit(1)).alias("sets"))
         named = join_unique(by_set, names, ["root"], "sets", s.hot_rows)
-        items = members.select("task", F.col("id").alias("item"), F.col("h1").alias("id"))
+        items = members.rows().select("task", F.col("id").alias("item"), F.col("h1").alias("id"))
         if not every:
             named = checkpointed(named.select("id", "group_id", "copies"))
             return join_unique(items, named, ["id"], "copies", s.hot_rows).select("task", F.col("item").alias("id"), "group_id")
@@ -325,12 +331,52 @@ class NearDuplicates:
         named = checkpointed(named.select("id", "group_id", "copies", F.coalesce("links", F.lit(0)).alias("links")))
         return join_unique(items, named, ["id"], "copies", s.hot_rows).select("task", F.col("item").alias("id"), "group_id", "links")
 
-    def _links(self, sets: DataFrame, every: bool) -> DataFrame:
+    def _distinct_sets(self) -> tuple[Slices, Slices]:
+        """The items with the id of their word set, and one row for each distinct word set.
+
+        A set's own id, unlike an item id, is unique over tasks.
+        """
+        texts = Slices(self.spark, "word-sets", "task string, id long, words string, h1 long", "h1")
+        texts.add(self.all.select("task", "id", "words", F.xxhash64("words", "task").alias("h1")))
+        members = Slices(self.spark, "members", "task string, id long, h1 long", "h1")
+        sets = Slices(self.spark, "distinct-sets", "id long, task string, words string, least long, copies long", "id")
+        for part in Slices.passes(texts.rows().count(), self.s.per_pass):
+            rows = texts.rows(part)
+            members.add(rows.select("task", "id", "h1"))
+            sets.add(
+                rows.groupBy("task", "words").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("copies")).select(
+                    F.xxhash64("words", "task").alias("id"), "task", "words", "least", "copies"
+                )
+            )
+            texts.drop(part)
+        return members, sets
+
+    def _links(self, sets: Slices, every: bool) -> DataFrame:
         """Rows (a, b) of similar sets: with ``every`` all of them, else enough to connect each group."""
+        keys, complete, passes = self._keys(sets)
+        pairs = Slices(self.spark, "pairs", "a long, b long", "a")
+        hot = Slices(self.spark, "hot-rows", KEYS, "key")
+        for part in passes:
+            self._candidates(_rows(keys.rows(), part), complete, every, pairs, hot)
+        keys.drop()
+        links = self._verified(pairs.rows(), sets, passes)
+        pairs.drop()
+        if every:
+            return links
+        rows = hot.rows()
+        if not rows.isEmpty():
+            links = checkpointed(links.unionByName(self._verified(self._between(rows, links), sets, passes)).distinct())
+        hot.drop()
+        release(self.spark)
+        return links
+
+    def _keys(self, sets: Slices) -> tuple[Slices, bool, list[list[int]]]:
+        """The keys by set; whether every word of more than ``bucket`` texts is known as frequent; the slices of each pass."""
         s, sc = self.s, self.spark.sparkContext
-        totals = {r.task: r["count"] for r in sets.groupBy("task").count().collect()}
+        columns = sets.rows().select("task", "id", "words")
+        totals = {r.task: r["count"] for r in columns.groupBy("task").count().collect()}
         frequent = (
-            sets.select("task", F.explode(F.split("words", " ")).alias("word"))
+            columns.select("task", F.explode(F.split("words", " ")).alias("word"))
             .groupBy("task", "word")
             .agg(F.count(F.lit(1)).alias("n"))
             .where(F.col("n") > s.bucket)
@@ -338,35 +384,38 @@ class NearDuplicates:
             .limit(s.words)
             .collect()
         )
+        release(self.spark)
         freq: dict[str, dict[str, int]] = {}
         for r in frequent:
             freq.setdefault(r.task, {})[r.word] = r.n
         shared = sc.broadcast((freq, totals, None))
-        tail = sets.select("task", "words").mapInArrow(_small_tail(shared, s), "key array<string>").distinct().limit(s.tail + 1).collect()
+        tail = columns.select("task", "words").mapInArrow(_small_tail(shared, s), "key array<string>").distinct().limit(s.tail + 1).collect()
+        release(self.spark)
         prune = _trie(r.key for r in tail) if len(tail) <= s.tail else None
         shared = sc.broadcast((freq, totals, prune))
-        columns = sets.select("task", "id", "words")
-        rare = columns.mapInArrow(_emit(shared, s, of_rare=True), KEYS)
-        tail_keys = columns.mapInArrow(_emit(shared, s, of_rare=False), KEYS)
-        if len(frequent) < s.words:  # then a word that isn't in the list has at most ``bucket`` texts
-            pairs, rest = self._colliding(rare, rare), checkpointed(tail_keys)
+        keys = Slices(self.spark, "keys", BY_SET)
+        keys.add(columns.mapInArrow(_emit(shared, s), BY_SET))
+        return keys, len(frequent) < s.words, Slices.passes(sum(totals.values()), s.per_pass)
+
+    def _candidates(self, keys: DataFrame, complete: bool, every: bool, pairs: Slices, hot_rows: Slices) -> None:
+        """Adds the colliding pairs of some keys, and the rows of their large buckets unless all pairs of these are added."""
+        # If the list of frequent words is complete, a word that isn't in it has at most ``bucket`` texts.
+        rest = keys.where("at = 0") if complete else keys
+        sizes = rest.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
+        hot = checkpointed(sizes.where(F.col("size") > self.s.hot))
+        if hot.isEmpty():
+            found = self._colliding(keys, keys)
         else:
-            pairs, rest = None, checkpointed(rare.unionByName(tail_keys))
-        sizes = rest.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-        hot = checkpointed(sizes.where(F.col("size") > s.hot))
-        cold = rest.join(sizes.where(F.col("size") <= s.hot).select("key"), "key", "left_semi")
-        cold_pairs = self._colliding(cold, cold)
-        pairs = cold_pairs if pairs is None else pairs.unionByName(cold_pairs)
-        if not hot.isEmpty():
+            cold = keys.join(hot.select("key"), "key", "left_anti")
+            found = self._colliding(cold, cold)
             if every:
                 cells = self._cells(rest.join(hot, "key"))
-                pairs = pairs.unionByName(self._colliding(cells, cells, "(a.block <> b.block OR a.low = a.high)", ["key", "low", "high"]))
-                return checkpointed(self._verified(pairs, sets))
-            rows = rest.join(hot, "key", "left_semi")
-            pairs = pairs.unionByName(self._pivots(rows))
-            links = checkpointed(self._verified(pairs, sets))
-            return checkpointed(links.unionByName(self._verified(self._between(rows, links), sets)).distinct())
-        return checkpointed(self._verified(pairs, sets))
+                found = found.unionByName(self._colliding(cells, cells, "(a.block <> b.block OR a.low = a.high)", ["key", "low", "high"]))
+            else:
+                rows = rest.join(hot, "key", "left_semi").select(*NAMES)
+                hot_rows.add(rows)
+                found = found.unionByName(self._pivots(rows))
+        pairs.add(_in_order(found))
 
     def _colliding(self, larger: DataFrame, smaller: DataFrame, condition: str = "true", on: list[str] = ["key"]) -> DataFrame:
         joined = larger.alias("a").join(smaller.alias("b"), on)
@@ -412,13 +461,27 @@ class NearDuplicates:
         differ, on = "a.root <> b.root", ["key", "x", "y"]
         return self._colliding(every, outside, differ, on).unionByName(self._colliding(outside, every, differ, on))
 
-    def _verified(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    def _verified(self, pairs: DataFrame, sets: Slices, passes: list[list[int]]) -> DataFrame:
         """Distinct pairs whose full word sets are similar."""
-        # In one order, as a pair can be found both ways.
-        pairs = checkpointed(pairs.selectExpr("greatest(a, b) AS a", "least(a, b) AS b").distinct())
-        release(self.spark)
-        # Both joins read the same shuffle of the word sets; of those, only the ones of a pair go on.
-        words = sets.select("id", "words")
+        distinct = Slices(self.spark, "distinct-pairs", "a long, b long", "a")
+        distinct.add(_in_order(pairs))
+        pairs = distinct.rows()
+        # Only the words of sets in a pair go on.
+        words = Slices(self.spark, "words-of-pairs", "id long, words string", "id")
+        ids = Slices(self.spark, "ids-of-pairs", "id long", "id")
+        ids.add(pairs.selectExpr("a AS id").unionByName(pairs.selectExpr("b AS id")).distinct())
+        for part in passes:
+            words.add(sets.rows(part).select("id", "words").join(ids.rows(part), "id", "left_semi"))
+        ids.drop()
+        links = Slices(self.spark, "links", "a long, b long", "a")
+        for part in Slices.passes(pairs.count(), self.s.per_pass):
+            # Both joins read the same shuffle of the words if one pass is enough.
+            links.add(self._similar(distinct.rows(part), words.rows()))
+        distinct.drop()
+        words.drop()
+        return links.rows()
+
+    def _similar(self, pairs: DataFrame, words: DataFrame) -> DataFrame:
         both = pairs.join(words.select(F.col("id").alias("a"), F.col("words").alias("wa")), "a").join(
             words.select(F.col("id").alias("b"), F.col("words").alias("wb")), "b"
         )
@@ -427,3 +490,14 @@ class NearDuplicates:
         return both.where(
             shared / (F.size("sa") + F.size("sb") - shared) >= F.lit(self.s.similarity) - F.lit(EPS)
         ).select("a", "b")
+
+
+def _rows(keys: DataFrame, part: list[int]) -> DataFrame:
+    """A row for each key of these slices."""
+    each = F.explode(F.concat(*(f"k{i}" for i in part))).alias("k")
+    return keys.select("id", "n", "sketch", each).select("k.key", "id", "n", "k.at", "sketch")
+
+
+def _in_order(pairs: DataFrame) -> DataFrame:
+    """The distinct pairs in one order, as a pair can be found both ways."""
+    return pairs.selectExpr("greatest(a, b) AS a", "least(a, b) AS b").distinct()

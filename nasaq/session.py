@@ -14,6 +14,7 @@ import shutil
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterable
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -96,6 +97,46 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Slices:
+    """A Parquet table in the shared folder whose rows lie in ``COUNT`` folders by the hash in one column (in one folder without it).
+
+    A step that meets rows by that hash can take some folders after others, and a folder that has been taken
+    can go, so that neither its shuffles nor the table are on disk as a whole.
+    """
+
+    COUNT = 8
+
+    def __init__(self, spark: SparkSession, name: str, schema: str, by: str | None = None):
+        self.spark, self.schema, self.by = spark, schema, by
+        self.path, self.written = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}", False
+        _remove_at_exit(spark, self.path)
+
+    def add(self, rows: DataFrame) -> None:
+        rows = rows.withColumn("slice", F.pmod(F.col(self.by), F.lit(self.COUNT)).cast("int") if self.by else F.lit(0))
+        rows.write.option("compression", "zstd").partitionBy("slice").mode("append").parquet(self.path)
+        self.written = True
+        del rows
+        release(self.spark)
+
+    def rows(self, slices: Iterable[int] | None = None) -> DataFrame:
+        """The rows of these slices, or all."""
+        if not self.written:
+            return self.spark.createDataFrame([], self.schema)
+        table = self.spark.read.schema(f"{self.schema}, slice int").parquet(self.path)
+        return (table if slices is None else table.where(F.col("slice").isin(*slices))).drop("slice")
+
+    def drop(self, slices: Iterable[int] | None = None) -> None:
+        """Deletes these slices, or all. What was read from them and isn't stored is lost."""
+        for path in [self.path] if slices is None else [f"{self.path}/slice={k}" for k in slices]:
+            _remove(self.spark, path)
+
+    @classmethod
+    def passes(cls, units: int, per_pass: int) -> list[list[int]]:
+        """The slices of each pass, of about ``per_pass`` units, if that many passes can be."""
+        n = min(cls.COUNT, max(1, -(-units // per_pass)))
+        return [list(range(k, cls.COUNT, n)) for k in range(n)]
+
+
 def release(spark: SparkSession) -> None:
     """Lets the driver drop the shuffle files of plans that nothing refers to any more.
 
@@ -106,13 +147,16 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def _remove_at_exit(spark: SparkSession, path: str) -> None:
+def _remove(spark: SparkSession, path: str) -> None:
     sc = spark.sparkContext
+    jpath = sc._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(sc._jsc.hadoopConfiguration()).delete(jpath, True)
+
 
+def _remove_at_exit(spark: SparkSession, path: str) -> None:
     def remove() -> None:
         try:
-            jpath = sc._jvm.org.apache.hadoop.fs.Path(path)
-            jpath.getFileSystem(sc._jsc.hadoopConfiguration()).delete(jpath, True)
+            _remove(spark, path)
         except Exception:  # the session has ended and its folder with it
             pass
 

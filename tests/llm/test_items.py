@@ -1,6 +1,7 @@
 """Operators on items: look-alikes, formatting copies, near duplicates, pair defects, samples."""
 
 import random
+from pathlib import Path
 import unicodedata
 
 import pytest
@@ -10,6 +11,7 @@ from nasaq.llm import lookalikes as L
 from nasaq.llm import pairs, sampling
 from nasaq.llm.formatting import FormattingCopies
 from nasaq.llm.near_duplicates import NearDuplicates, Settings, words_of
+from nasaq.session import shared_dir
 
 A_CUT = "а"  # Cyrillic
 
@@ -184,6 +186,21 @@ def test_links_of_a_hot_family_are_exact(spark):
     assert {(r.task, r.id): r.group_id for r in op.groups().collect()} == groups
 
 
+def test_near_duplicates_take_keys_in_passes_and_leave_no_texts_behind(spark, monkeypatch):
+    rng = random.Random(11)
+    rows = edited(rng, 200, [f"w{i}" for i in range(60)])
+    df = spark.createDataFrame(rows, "task string, id long, text string")
+    taken, candidates = [], NearDuplicates._candidates
+    monkeypatch.setattr(NearDuplicates, "_candidates", lambda self, keys, *more: (taken.append(keys.count()), candidates(self, keys, *more))[1])
+    folder = Path(shared_dir(spark).removeprefix("file:"))
+    before = set(folder.iterdir())
+    got = {(r.task, r.id): r.group_id for r in NearDuplicates(df, Settings(bucket=3, words=5, hot=6, per_pass=1)).groups().collect()}
+    assert got == brute_groups(rows, 0.7)
+    assert len(taken) == 8 and max(taken) < sum(taken) / 2
+    left = {p.name.rpartition("-")[0] for p in set(folder.iterdir()) - before if list(p.rglob("*.parquet"))}
+    assert left <= {"members", "links"}
+
+
 @pytest.fixture(scope="module")
 def judge(spark):
     docs = [("en", "the book is on the table and the pupil reads it"), ("ar", "الكتاب على الطاولة والطالب يقرأ الدرس"), ("fr", "le livre est sur la table et le garçon lit"), ("es", "el libro está sobre la mesa y el niño lee"), ("de", "das Buch liegt auf dem Tisch und der Junge liest")]
