@@ -62,6 +62,8 @@ ASTRAL = re.compile("[\U00010000-\U0010ffff]")
 BASIC = [chr(c) for c in range(0x10000) if not 0xD800 <= c <= 0xDFFF and unicodedata.category(chr(c))[0] == "P"]
 BASIC_PUNCTUATION = re.compile(f"[{re.escape(''.join(BASIC))}]+")
 EPS = 1e-9
+#: Bits of the table of hashed keys.
+TABLE_BITS = 28
 
 
 @dataclass(frozen=True)
@@ -71,7 +73,8 @@ class Settings:
     a bucket above which it is linked through its least member first, or compared
     in blocks of about so many rows. words: most
     words whose frequency is broadcast (others count as rare, which costs time but
-    no link). tail: most keys of frequent words that prune the other side. hot_rows:
+    no link). tail: most keys of frequent words that prune the other side word by word;
+    more of them do it by a table of hashed bits. hot_rows:
     rows of a set or a group above which they aren't shuffled to one task. per_pass:
     word sets whose keys are shuffled at a time, if eight passes are enough."""
 
@@ -113,7 +116,7 @@ def half_deletions(n: int, t: float) -> int:
 class _Emitter:
     """Emits the keys of word sets. The frequency of a frequent word: freq[task][word]."""
 
-    def __init__(self, freq: dict[str, dict[str, int]], totals: dict[str, int], s: Settings, tail: dict[str, dict] | None):
+    def __init__(self, freq: dict[str, dict[str, int]], totals: dict[str, int], s: Settings, tail: dict[str, dict] | np.ndarray | None):
         self.freq, self.totals, self.s, self.tail = freq, totals, s, tail
         #: The place of each frequent word in the global order.
         self.rank = {t: {w: i for i, w in enumerate(sorted(ws, key=lambda w: (ws[w], w)))} for t, ws in freq.items()}
@@ -133,8 +136,13 @@ class _Emitter:
             out.append(key)
         if final:
             return
+        last, scale = len(key) + 1 >= self.s.depth, expected / self.totals[task]
         for skip in range(min(left, len(order) - at - 2) + 1):
-            self._extend(task, order, known, at + 1 + skip, left - skip, expected, key, out)
+            i = at + 1 + skip
+            if last or scale * known[i] <= self.s.bucket:  # final, as most are
+                out.append((*key, order[i]))
+            else:
+                self._extend(task, order, known, i, left - skip, expected, key, out)
 
     def _walk(self, node, order, at, left, out) -> None:
         """All keys of the trie below ``node`` that the words from order[at] on spell with at most ``left`` deletions."""
@@ -176,13 +184,13 @@ class _Emitter:
         return [digest((head + w).encode("utf-8", "surrogatepass")) for w in self.rare(task, words)[: most + 1]]
 
     def tail_keys(self, task: str, words: list[str]) -> list[int]:
-        """Keys that a frequent word starts: those that the smaller side of some pair has too, if these are known."""
+        """Keys that a frequent word starts: those that the smaller side of some pair has too, if these are known by word."""
         most = most_deletions(len(words), self.s.similarity)
         n_rare = len(self.rare(task, words))
         if n_rare > most:
             return []
         order, known = self.ordered(task, words)
-        if self.tail is not None:
+        if isinstance(self.tail, dict):
             found: list[int] = []
             if task in self.tail:
                 self._walk(self.tail[task], order, n_rare, most - n_rare, found)
@@ -231,8 +239,11 @@ def _emit(shared: Broadcast, s: Settings):
                 per_row.append(len(rare) + len(tail))
                 sizes.append(len(words))
                 sketches.append(emitter.sketch(words) if rare or tail else 0)
-            each, row = np.array(keys, np.uint64), np.repeat(np.arange(len(per_row)), per_row)
-            position, slice_of = np.array(at, np.int32), each % np.uint64(Slices.COUNT)
+            each, row, position = np.array(keys, np.uint64), np.repeat(np.arange(len(per_row)), per_row), np.array(at, np.int32)
+            if isinstance(tail_set, np.ndarray):
+                kept = (position > 0) | _in_table(tail_set, each)
+                each, row, position = each[kept], row[kept], position[kept]
+            slice_of = each % np.uint64(Slices.COUNT)
             columns = [batch.column(1), pa.array(sizes, pa.int32()), pa.array(np.array(sketches, np.uint64).view(np.int64))]
             for k in range(Slices.COUNT):
                 own = slice_of == k
@@ -257,6 +268,37 @@ def _small_tail(shared: Broadcast, s: Settings):
     return run
 
 
+def _places(keys: np.ndarray) -> list[np.ndarray]:
+    """Two places of each key in the table of bits."""
+    return [(keys >> np.uint64(64 - TABLE_BITS)).astype(np.int64), (keys >> np.uint64(60 - 2 * TABLE_BITS) & np.uint64((1 << TABLE_BITS) - 1)).astype(np.int64)]
+
+
+def _in_table(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether both bits are set: always for a key that was put in, rarely for another."""
+    one, two = ((table[p >> 6] >> (p & 63)) & 1 for p in _places(keys))
+    return (one & two).astype(bool)
+
+
+def _small_places(shared: Broadcast, s: Settings):
+    """The places of the smaller side's keys that a frequent word starts, each once in a task."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        freq, totals, _ = shared.value
+        emitter, seen = _Emitter(freq, totals, s, None), np.zeros(1 << (TABLE_BITS - 3), np.uint8)
+        for batch in batches:
+            keys = [
+                emitter._key(task, key)
+                for task, words in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
+                for key in emitter.small_tail(task, words.split(" "))
+            ]
+            places = np.unique(np.concatenate(_places(np.array(keys, np.uint64))))
+            places = places[(seen[places >> 3] >> (places & 7)) & 1 == 0]
+            np.bitwise_or.at(seen, places >> 3, (1 << (places & 7)).astype(np.uint8))
+            yield pa.RecordBatch.from_pydict({"place": pa.array(places, pa.int64())})
+
+    return run
+
+
 def _trie(keys: Iterable[list[str]]) -> dict[str, dict]:
     """By task and words; the hash of a key is under the empty word after its last word."""
     root: dict[str, dict] = {}
@@ -371,7 +413,7 @@ class NearDuplicates:
         return links
 
     def _keys(self, sets: Slices) -> tuple[Slices, bool, list[list[int]]]:
-        """The keys by set; whether every word of more than ``bucket`` texts is known as frequent; the slices of each pass."""
+        """The keys by set; whether no word that isn't known as frequent has a bucket of more than ``hot`` rows; the slices of each pass."""
         s, sc = self.s, self.spark.sparkContext
         columns = sets.rows().select("task", "id", "words")
         totals = {r.task: r["count"] for r in columns.groupBy("task").count().collect()}
@@ -389,17 +431,32 @@ class NearDuplicates:
         for r in frequent:
             freq.setdefault(r.task, {})[r.word] = r.n
         shared = sc.broadcast((freq, totals, None))
-        tail = columns.select("task", "words").mapInArrow(_small_tail(shared, s), "key array<string>").distinct().limit(s.tail + 1).collect()
-        release(self.spark)
-        prune = _trie(r.key for r in tail) if len(tail) <= s.tail else None
+        # The list is by frequency: a word that isn't in it has no more texts than the last one in it.
+        full = len(frequent) == s.words
+        prune = None
+        if not full:
+            tail = columns.select("task", "words").mapInArrow(_small_tail(shared, s), "key array<string>").distinct().limit(s.tail + 1).collect()
+            release(self.spark)
+            prune = _trie(r.key for r in tail) if len(tail) <= s.tail else None
+        if prune is None:  # with a full list there are too many of these keys, mostly
+            prune = self._table(columns.select("task", "words").mapInArrow(_small_places(shared, s), "place long"))
         shared = sc.broadcast((freq, totals, prune))
         keys = Slices(self.spark, "keys", BY_SET)
         keys.add(columns.mapInArrow(_emit(shared, s), BY_SET))
-        return keys, len(frequent) < s.words, Slices.passes(sum(totals.values()), s.per_pass)
+        complete = not full or frequent[-1].n <= s.hot
+        return keys, complete, Slices.passes(sum(totals.values()), s.per_pass)
+
+    def _table(self, places: DataFrame) -> np.ndarray:
+        """A table of bits (32 MB) in which these places are set."""
+        words = places.groupBy(F.shiftright("place", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(place & 63 AS INT))")).alias("bits")).toArrow()
+        table = np.zeros(1 << (TABLE_BITS - 6), np.int64)
+        table[words.column("word").to_numpy()] = words.column("bits").to_numpy()
+        release(self.spark)
+        return table
 
     def _candidates(self, keys: DataFrame, complete: bool, every: bool, pairs: Slices, hot_rows: Slices) -> None:
         """Adds the colliding pairs of some keys, and the rows of their large buckets unless all pairs of these are added."""
-        # If the list of frequent words is complete, a word that isn't in it has at most ``bucket`` texts.
+        # If the list of frequent words is long enough, a word that isn't in it has at most ``hot`` texts.
         rest = keys.where("at = 0") if complete else keys
         sizes = rest.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
         hot = checkpointed(sizes.where(F.col("size") > self.s.hot))

@@ -201,6 +201,23 @@ def test_near_duplicates_take_keys_in_passes_and_leave_no_texts_behind(spark, mo
     assert left <= {"members", "links"}
 
 
+def test_near_duplicates_prune_keys_past_their_lists(spark):
+    rng = random.Random(12)
+    rows = edited(rng, 200, [f"w{i}" for i in range(60)])
+    df = spark.createDataFrame(rows, "task string, id long, text string")
+
+    def keys(**lists):
+        op = NearDuplicates(df, Settings(bucket=2, depth=3, hot=1000, **lists))
+        found, complete, _ = op._keys(op._distinct_sets()[1])
+        assert complete  # no word outside the list can have a bucket of more than ``hot`` rows
+        return sum(len(r[f"k{i}"]) for r in found.rows().collect() for i in range(8))
+
+    by_word = keys()
+    assert 0 < keys(tail=3) <= 1.05 * by_word  # a bit that another key set is rare
+    keys(words=30)
+    assert {(r.task, r.id): r.group_id for r in NearDuplicates(df, Settings(bucket=2, depth=3, tail=3, words=30)).groups().collect()} == brute_groups(rows, 0.7)
+
+
 @pytest.fixture(scope="module")
 def judge(spark):
     docs = [("en", "the book is on the table and the pupil reads it"), ("ar", "الكتاب على الطاولة والطالب يقرأ الدرس"), ("fr", "le livre est sur la table et le garçon lit"), ("es", "el libro está sobre la mesa y el niño lee"), ("de", "das Buch liegt auf dem Tisch und der Junge liest")]
