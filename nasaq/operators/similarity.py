@@ -127,15 +127,25 @@ def _width(bucket: int, threshold: float, spare: float) -> int:
 
 
 def _sketches(texts: list[str]) -> np.ndarray:
-    """Rows of WORDS words: each pair of neighbouring characters flips one bit."""
+    """Rows of WORDS words: each pair of neighbouring characters, with the number of equal pairs before it, flips one bit.
+
+    Without that number, what a text says twice (a prompt and its correction, say) would cancel out.
+    """
     out = np.zeros((len(texts), WORDS), np.uint64)
     for first in range(0, len(texts), 500):
         part = texts[first : first + 500]
         points = np.frombuffer("".join(part).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
         row = np.repeat(np.arange(len(part)), [len(t) for t in part])
-        two = (points[:-1] * np.uint64(0x9E3779B97F4A7C15) + points[1:]) * np.uint64(0xD6E8FEB86659FD93)
-        at = row[:-1] * BITS + ((two ^ (two >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(52)).astype(np.int64)
-        odd = (np.bincount(at[row[:-1] == row[1:]], minlength=len(part) * BITS) & 1).astype(np.uint8)
+        inside = row[:-1] == row[1:]
+        # A text, of which there are 500 at most, and two characters, of 21 bits each.
+        pair = (row[:-1].astype(np.uint64) << np.uint64(42) | points[:-1] << np.uint64(21) | points[1:])[inside]
+        order = np.argsort(pair, kind="stable")
+        ranked = pair[order]
+        place = np.arange(len(pair))
+        before = place - np.maximum.accumulate(np.where(np.r_[True, ranked[1:] != ranked[:-1]][: len(pair)], place, 0))
+        two = ((ranked & np.uint64((1 << 42) - 1)) + before.astype(np.uint64) * np.uint64(0x632BE59BD9B4E019)) * np.uint64(0xD6E8FEB86659FD93)
+        at = (ranked >> np.uint64(42)).astype(np.int64) * BITS + ((two ^ (two >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(52)).astype(np.int64)
+        odd = (np.bincount(at, minlength=len(part) * BITS) & 1).astype(np.uint8)
         out[first : first + len(part)] = np.packbits(odd).view(np.uint64).reshape(len(part), WORDS)
     return out
 
@@ -208,22 +218,34 @@ def _placed(pivots: np.ndarray, threshold: float, spare: float):
     return run
 
 
+def _bytes_of(column: pa.Array) -> np.ndarray:
+    """The bytes of a column of binaries, one after another, without a Python object for each."""
+    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
+
+
 def _compared(threshold: float, tile: int = 32, wide: int = 1024):
-    """Pairs (a, b) of a cell whose lengths and sketches allow similarity: a shorter text of the cell's bucket with one that isn't shorter."""
+    """Pairs (a, b) of a cell whose lengths and sketches allow similarity: a shorter text of the cell's bucket with one that isn't shorter.
+
+    Of a large cell, pairs of its blocks ``low`` and ``high``.
+    """
 
     def run(table: pa.Table) -> pa.Table:
-        columns = {c: table.column(c).to_numpy() for c in ("ix", "n", "far", "own", "short")}
+        columns = {c: table.column(c).to_numpy() for c in ("ix", "n", "far", "own", "short", "block")}
         order = np.lexsort((columns["ix"], columns["n"]))
-        ix, n, far, own, short = (columns[c][order] for c in ("ix", "n", "far", "own", "short"))
+        ix, n, far, own, short, block = (columns[c][order] for c in ("ix", "n", "far", "own", "short", "block"))
         n, far = n.astype(np.int64), far.astype(np.int64)
-        words = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint64).reshape(len(ix), -1)[order]
+        words = np.concatenate([_bytes_of(c) for c in table.column("sketch").chunks]).view(np.uint64).reshape(len(ix), -1)[order]
+        low, high = table.column("low")[0].as_py(), table.column("high")[0].as_py()
+        sides = [(block == low, block == high)] if low == high else [(block == low, block == high), (block == high, block == low)]
         by_word = np.ascontiguousarray(words.T)
         half = len(by_word)
         edits = _edits(n, threshold)
         longest = _longest(n, threshold)
         buffers = [np.zeros(tile * wide, kind) for kind in (np.uint64, np.uint8, np.uint8, np.uint16)]
         found: list[tuple[np.ndarray, np.ndarray]] = []
-        for shorts, among in ((np.flatnonzero(short & own), np.arange(len(ix))), (np.flatnonzero(short & ~own), np.flatnonzero(own))):
+        runs = [pair for mine, other in sides for pair in ((short & own & mine, other), (short & ~own & mine, own & other))]
+        for shorts, among in (map(np.flatnonzero, pair) for pair in runs):
             for first in range(0, len(shorts), tile):
                 a = shorts[first : first + tile]
                 b = among[(among > a[0]) & (among < np.searchsorted(n, longest[a[-1]], "right"))]
@@ -264,8 +286,9 @@ def similar_pairs(rows: DataFrame, threshold: float = 0.93, spare: float = 1.5,
     blocks of sketches are compared at once; what they allow is compared by the
     capped Levenshtein distance in double arithmetic. No pair is lost. A text moves in a
     few copies of its sketch, which has ``spare`` more bits than the least useful
-    number; its shorter texts are split over tasks in cells of more than ``per_cell``
-    rows. The empty text is similar to itself alone.
+    number; a cell of more than ``per_cell`` rows (fewer, if their sketches are long) is
+    split into blocks of as many, and a task has two blocks at most. The empty text is
+    similar to itself alone.
     """
     return _similar_pairs(stored(rows.select("ix", "s").where("length(s) > 0"), "texts"), threshold, spare, per_cell)
 
@@ -282,13 +305,15 @@ def _similar_pairs(rows: DataFrame, threshold: float, spare: float = 1.5, per_ce
     else:
         pivots = np.zeros((1, WORDS), np.uint64)
     placed = stored(rows.mapInArrow(_placed(pivots, threshold, spare), PLACED), "cells")
-    cells = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("rows"))
+    cells = placed.groupBy("cell").agg(F.sum(F.greatest(F.lit(1.0), F.length("sketch") / 64.0)).alias("rows"))
     # There are as many cells at most as pivots and buckets of lengths, at any number of rows.
     parts = cells.where(F.col("rows") > per_cell).select("cell", F.ceil(F.col("rows") / per_cell).cast("int").alias("parts"))
     placed = placed.join(F.broadcast(parts), "cell", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
-    placed = placed.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    placed = placed.withColumn("short", F.expr("short AND pmod(xxhash64(ix), parts) = part")).drop("parts")
-    met = placed.repartition(8 * tasks, "cell", "part").groupBy("cell", "part").applyInArrow(_compared(threshold), "a long, b long")
+    placed = placed.withColumn("block", F.pmod(F.xxhash64("ix", F.lit("block")), F.col("parts")).cast("int"))
+    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    placed = placed.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")}).drop("parts", "other")
+    on = ["cell", "low", "high"]
+    met = placed.repartition(8 * tasks, *on).groupBy(*on).applyInArrow(_compared(threshold), "a long, b long")
     pairs = spread(met, F.lit(1), 5_000)
     both = pairs.join(rows.select(F.col("ix").alias("a"), F.col("s").alias("sa")), "a").join(rows.select(F.col("ix").alias("b"), F.col("s").alias("sb")), "b")
     # A cap that depends on the row needs the SQL form.

@@ -2,6 +2,7 @@ import json
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -178,6 +179,41 @@ def test_similar_texts_of_one_template_move_in_few_copies(spark):
         assert sorted(tuple(r) for r in similarity.similar_pairs(df, per_cell=per_cell).collect()) == sorted(want)
 
 
+def test_texts_that_say_their_names_twice_differ_in_their_sketches(spark):
+    rng = random.Random(6)
+    name = lambda: "".join(rng.choice("bdfgklmnrst") + rng.choice("aeiou") for _ in range(4))
+    said = [f"while {name()} was in {name()} for the pure change of {name()} and {name()} with {name()}" for _ in range(60)]
+    texts = [f"there colour is fading {s} / their colour is fading {s} / the possessive is spelled another way" for s in said]
+    texts += [t.replace("fading", "fadin").replace("possessive", "posesive") for t in texts[:12]]
+    lengths = [len(t) for t in texts]
+    want = {(i, k) for k, b in enumerate(texts) for i, a in enumerate(texts[:k]) if 1 - lev(a, b) / max(len(a), len(b)) >= 0.93}
+    sketches = similarity._sketches(texts)
+    bits = lambda i, k: int(np.bitwise_count(sketches[i] ^ sketches[k]).sum())
+    met = {(i, k) for k in range(len(texts)) for i in range(k) if bits(i, k) <= 4 * similarity.most_edits(max(lengths[i], lengths[k]), 0.93)}
+    assert want <= met and len(met) <= 2 * len(want)  # nearly all pairs met when what is said twice cancelled out
+    df = spark.createDataFrame(list(enumerate(texts)), "ix long, s string")
+    for per_cell in (100_000, 25):
+        assert sorted(tuple(r) for r in similarity.similar_pairs(df, per_cell=per_cell).collect()) == sorted(want)
+
+
+def test_tasks_hold_two_blocks_of_a_large_cell(spark, monkeypatch):
+    name = lambda i: f"{i * 7919 % 10007:05d}"
+    texts = [" ".join(name(100 * i + k) for k in range(12)) for i in range(200)]
+    df = spark.createDataFrame(list(enumerate(texts)), "ix long, s string")
+
+    def sized(threshold):
+        def run(table):
+            return pa.table({"a": pa.array([table.num_rows], pa.int64()), "b": pa.array([0], pa.int64())})
+
+        return run
+
+    sizes, spread = [], similarity.spread
+    monkeypatch.setattr(similarity, "_compared", sized)
+    monkeypatch.setattr(similarity, "spread", lambda met, *more: (sizes.extend(r.a for r in met.collect()), spread(met, *more))[1])
+    similarity.similar_pairs(df, per_cell=20).collect()
+    assert sizes and max(sizes) <= 60  # two blocks of about 20; a task had all rows of the cell
+
+
 def test_fuzzy_boundary_and_chain(spark):
     a = "a" * 100
     rows = [(0, a), (1, "b" * 7 + a[7:]), (2, None), (3, None)]
