@@ -204,7 +204,7 @@ def _placed(pivots: np.ndarray, threshold: float, spare: float):
             row, pivot = np.repeat(row, many), np.repeat(pivot, many)
             sketch: list[bytes] = [b""] * len(row)
             for b in np.unique(bucket).tolist():
-                at, w = np.flatnonzero(bucket == b), _width(b, threshold, spare)
+                at, w = np.flatnonzero(bucket == b), min(WORDS, 2 * _width(b, threshold, spare))
                 data = np.bitwise_xor.reduce(whole[row[at]].reshape(len(at), WORDS // w, w), axis=1).tobytes()
                 for i, k in enumerate(at.tolist()):
                     sketch[k] = data[i * 8 * w : (i + 1) * 8 * w]
@@ -238,8 +238,9 @@ def _compared(threshold: float, tile: int = 32, wide: int = 1024):
         words = np.concatenate([_bytes_of(c) for c in table.column("sketch").chunks]).view(np.uint64).reshape(len(ix), -1)[order]
         low, high = table.column("low")[0].as_py(), table.column("high")[0].as_py()
         sides = [(block == low, block == high)] if low == high else [(block == low, block == high), (block == high, block == low)]
-        by_word = np.ascontiguousarray(words.T)
-        half = len(by_word)
+        # All pairs are compared by sketches folded once, and by the whole ones what these allow.
+        half = max(1, words.shape[1] // 2)
+        by_word = np.ascontiguousarray((words[:, :half] ^ words[:, half:] if words.shape[1] > 1 else words).T)
         edits = _edits(n, threshold)
         longest = _longest(n, threshold)
         buffers = [np.zeros(tile * wide, kind) for kind in (np.uint64, np.uint8, np.uint8, np.uint16)]
@@ -255,7 +256,7 @@ def _compared(threshold: float, tile: int = 32, wide: int = 1024):
                     most = int(4 * edits[c[-1]])
                     # A sum that runs over is a false candidate; that of a similar pair doesn't, as it is ``most`` at most.
                     xor, ones, differ = (x[: len(a) * len(c)].reshape(len(a), len(c)) for x in (buffers[0], buffers[1], buffers[2 if most < 256 else 3]))
-                    for k, w in enumerate(by_word[:half]):
+                    for k, w in enumerate(by_word):
                         np.bitwise_xor(w[a][:, None], w[c][None, :], out=xor)
                         if k:
                             np.add(differ, np.bitwise_count(xor, out=ones), out=differ)
